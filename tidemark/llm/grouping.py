@@ -6,8 +6,8 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Mean bytes of text, and mean rows, of one group of documents.
@@ -31,23 +31,24 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_groups(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """(g, doc_id, text) with ``g`` a hash of doc_id onto as many groups as the texts' size asks for.
+def group_of(column: str, groups: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(column)), F.lit(groups)).cast("int")
+
+
+def text_groups(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> tuple[DataFrame, int]:
+    """(g, doc_id, text), and the number of groups, with ``g`` a hash of doc_id onto as many groups as the texts' size asks for.
 
     Every plan that groups this frame by ``g`` has the same exchange, which Spark then runs once.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total, rows = slim.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     groups = 1 + max((total or 0) // group_bytes, rows // GROUP_ROWS)
-    return slim.select(F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int").alias("g"), "doc_id", "text")
+    return slim.select(group_of("doc_id", groups).alias("g"), "doc_id", "text"), groups
 
 
 def in_order(group: pa.Table) -> pa.Table:
     """Rows by doc_id (null first), then text, so that each run over a group sees the same order."""
-    return group.sort_by([("doc_id", "ascending"), ("text", "ascending")]) if group.column("doc_id").null_count == 0 else pa.concat_tables(
-        [in_order_nulls(group), group.filter(pa.compute.is_valid(group["doc_id"])).sort_by([("doc_id", "ascending"), ("text", "ascending")])]
-    )
-
-
-def in_order_nulls(group: pa.Table) -> pa.Table:
-    return group.filter(pa.compute.is_null(group["doc_id"])).sort_by([("text", "ascending")])
+    by = [("doc_id", "ascending"), ("text", "ascending")]
+    if not group["doc_id"].null_count:
+        return group.sort_by(by)
+    return pa.concat_tables([group.filter(pc.is_null(group["doc_id"])).sort_by(by[1:]), group.filter(pc.is_valid(group["doc_id"])).sort_by(by)])

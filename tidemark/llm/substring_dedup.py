@@ -8,7 +8,7 @@ words that holds the whole context of a symbol can repeat only if that symbol do
 
 1. each group of documents gives its distinct symbols; Spark finds those that other groups have too;
 2. windows that hold a symbol found nowhere else are settled. The rest are verified: each group gives a
-   128-bit hash of every such window, once, and Spark finds the smallest document of each;
+   96-bit hash of every such window, once, and Spark finds the smallest document of each;
 3. each group removes the words of windows that start earlier in it or in another group.
 
 The texts are shuffled once (the three steps share the exchange); besides them only symbols, about 0.23 a
@@ -28,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.grouping import in_order, text_groups
+from tidemark.llm.grouping import group_of, in_order, text_groups
 from tidemark.llm.words import mix, text_chunks, window_hashes, window_starts
 
 #: Rounds of pairing. After four a symbol has about three words, and nearly every window of 20 holds the context of one.
 ROUNDS = 4
 _LEAST = -(2**63)
+_LOW = np.uint64(0xFFFFFFFF)
 
 
 class Symbols:
@@ -117,7 +118,8 @@ def repeated_words(docs: DataFrame, size: int = 20, rounds: int = ROUNDS) -> Dat
     A word goes if a window of ``size`` words that covers it also starts earlier in the corpus: in a document
     with a smaller doc_id, or further up in the same one.
     """
-    grouped = text_groups(docs)
+    low = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    grouped, groups = text_groups(docs)
 
     def names(group: pa.Table) -> pa.Table:
         group = in_order(group)
@@ -126,10 +128,10 @@ def repeated_words(docs: DataFrame, size: int = 20, rounds: int = ROUNDS) -> Dat
         use = _useful(s, first, size)
         index, _ = _once(s.name[use])
         g = group["g"][0].as_py() if len(group) else 0
-        return pa.table({"name": s.name[use][index].view(np.int64), "g": pa.array(np.full(len(index), g, np.int32)), "at": pa.array(index.astype(np.int32))})
+        return pa.table({"name": s.name[use][index].view(np.int64), "place": (index + (g << 32)).astype(np.int64)})
 
-    symbols = grouped.groupBy("g").applyInArrow(names, "name long, g int, at int")
-    shared = symbols.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("name"))).filter("n > 1").select("g", "at")
+    symbols = grouped.groupBy("g").applyInArrow(names, "name long, place long")
+    shared = symbols.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("name"))).filter("n > 1").select(F.shiftright("place", 32).cast("int").alias("g"), low("place").alias("at"))
 
     def windows(group: pa.Table, found: pa.Table) -> pa.Table:
         group = in_order(group)
@@ -149,11 +151,12 @@ def repeated_words(docs: DataFrame, size: int = 20, rounds: int = ROUNDS) -> Dat
         index, _ = _once(one[open_])
         at = open_[index]
         doc = group["doc_id"].fill_null(_LEAST).to_numpy()[np.searchsorted(first, at, "right") - 1] if len(at) else np.zeros(0, np.int64)
-        g = group["g"][0].as_py() if len(group) else 0
-        return pa.table({"h1": one[at].view(np.int64), "h2": two[at].view(np.int64), "g": pa.array(np.full(len(at), g, np.int32)), "doc": pa.array(doc), "at": pa.array(at.astype(np.int32))})
+        return pa.table({"h1": one[at].view(np.int64), "place": ((two[at] & ~_LOW) + at.astype(np.uint64)).view(np.int64), "doc": pa.array(doc)})
 
-    tried = grouped.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(windows, "h1 long, h2 long, g int, doc long, at int")
-    later = tried.withColumn("least", F.min("doc").over(Window.partitionBy("h1", "h2"))).filter("doc > least").select("g", "at")
+    # What travels is narrow: the second hash shares a column with the place, and the group follows from the document.
+    tried = grouped.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(windows, "h1 long, place long, doc long").repartition("h1")
+    least = F.min("doc").over(Window.partitionBy("h1", "h2"))
+    later = tried.withColumn("h2", F.shiftright("place", 32)).withColumn("least", least).filter("doc > least").select(group_of("doc", groups).alias("g"), low("place").alias("at"))
 
     def kept(group: pa.Table, found: pa.Table) -> pa.Table:
         group = in_order(group)

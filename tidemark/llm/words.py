@@ -84,7 +84,7 @@ class Words:
         return b" ".join(words if keep is None else [w for w, k in zip(words, keep.tolist()) if k])
 
 
-def text_chunks(column: pa.ChunkedArray | pa.Array, lower: bool = False, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
+def text_chunks(column: pa.ChunkedArray | pa.Array, lower: bool = False, limit: int = CHUNK_BYTES, rows: int = 50_000) -> Iterator[tuple[int, int, Words]]:
     """(first row, last row + 1, words) for runs of rows of a text column; null texts have no words."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -96,7 +96,7 @@ def text_chunks(column: pa.ChunkedArray | pa.Array, lower: bool = False, limit:
     buf = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     a = 0
     while a < len(column):
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
+        b = min(a + rows, max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1))
         part = buf[offsets[a] : offsets[b]]
         yield a, b, find_words(_LOWER[part] if lower else part, offsets[a : b + 1] - offsets[a])
         a = b
