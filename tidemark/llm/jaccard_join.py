@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.grouping import materialised, text_groups
+from tidemark.llm.grouping import group_of, materialised, text_groups
 from tidemark.llm.words import Words, mix, text_chunks, window_hashes, window_starts
 
 BITS = np.uint64(48)
@@ -123,28 +123,6 @@ def _rows(hot: bool, doc, n, f1, f2, bands) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), hot)), doc, pa.array(n.astype(np.int64)), pa.array(f1), pa.array(f2)] + [pa.array(bands[:, i].copy()) for i in range(BANDS)], ["hot", "doc_id", "n", "f1", "f2"] + [f"b{i}" for i in range(BANDS)])
 
 
-class _Join:
-    def __init__(self, docs: DataFrame, size: int, percent: int):
-        self.size, self.percent = size, percent
-        self.grouped = text_groups(docs)
-        self.place = self.grouped.select("g", "doc_id")
-        slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        self.sketches = materialised(slim.mapInArrow(_sketches(size), _SKETCH), "sketches")
-        self.members = self.sketches.filter("not hot and n > 0 and doc_id is not null")
-        g = self.grouped.schema["g"]  # noqa: F841  the group of a representative follows from its doc_id
-        least = self.members.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", *[f"b{i}" for i in range(BANDS)])).alias("r"))
-        self.classes = least.select(F.col("f1").alias("node"), "r.*")
-        self.g = self.grouped._jdf  # kept alive with the frame
-
-    def located(self, nodes: DataFrame, name: str) -> DataFrame:
-        """Adds the doc_id of a node's representative and its group."""
-        known = self.classes.select(F.col("node").alias(name), F.col("doc_id").alias(f"{name}_doc"))
-        return nodes.join(known, name).withColumn(f"{name}_g", self.group_of(f"{name}_doc"))
-
-    def group_of(self, column: str):
-        return F.pmod(F.xxhash64(F.col(column)), F.lit(self.groups)).cast("int")
-
-
 def _chosen(group: pa.Table, docs: np.ndarray, size: int) -> dict[int, np.ndarray]:
     """The sets, by node, of a group's rows with these doc_ids."""
     found: dict[int, np.ndarray] = {}
@@ -156,3 +134,197 @@ def _chosen(group: pa.Table, docs: np.ndarray, size: int) -> dict[int, np.ndarra
         for i in range(b - a):
             found[int(node[i])] = sets[first[i] : first[i + 1]]
     return found
+
+
+_PAIR = ["a", "b"]
+_VERIFIED = "a long, b long, same long, na long, nb long"
+
+
+def _verified(pairs: DataFrame, grouped: DataFrame, groups: int, classes: DataFrame, size: int) -> DataFrame:
+    """The pairs (a, b) of classes with the size of their sets' intersection and of both sets, counted exactly.
+
+    The set of a travels once to each group of documents that holds some b; b's set is made there.
+    """
+    at = lambda side: classes.select(F.col("node").alias(side), F.col("doc_id").alias(f"{side}_doc"))
+    placed = pairs.join(at("a"), "a").join(at("b"), "b").withColumn("g", group_of("a_doc", groups)).withColumn("to", group_of("b_doc", groups))
+
+    def send(group: pa.Table, wanted: pa.Table) -> pa.Table:
+        if not len(wanted):
+            return pa.table({"g": pa.array([], pa.int32()), "a": pa.array([], pa.int64()), "a_set": pa.array([], pa.binary()), "b": pa.array([], pa.list_(pa.int64())), "b_doc": pa.array([], pa.list_(pa.int64()))})
+        sets = _chosen(group, wanted["a_doc"].to_numpy(), size)
+        each = wanted.group_by(["to", "a"]).aggregate([("b", "list"), ("b_doc", "list")])
+        return pa.table({"g": each["to"], "a": each["a"], "a_set": pa.array([sets[a].view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for a in each["a"].to_pylist()], pa.binary()), "b": each["b_list"], "b_doc": each["b_doc_list"]})
+
+    sent = grouped.groupBy("g").cogroup(placed.groupBy("g")).applyInArrow(send, "g int, a long, a_set binary, b array<long>, b_doc array<long>")
+
+    def count(group: pa.Table, wanted: pa.Table) -> pa.Table:
+        out: list[tuple[int, ...]] = []
+        if len(wanted):
+            sets = _chosen(group, np.unique(wanted["b_doc"].combine_chunks().flatten().to_numpy()), size)
+            for a, raw, others in zip(wanted["a"].to_pylist(), wanted["a_set"], wanted["b"].to_pylist(), strict=True):
+                six = np.frombuffer(raw.as_buffer(), np.uint8).reshape(-1, 6)
+                wide = np.zeros((len(six), 8), np.uint8)
+                wide[:, :6] = six
+                mine = wide.view(np.uint64).ravel()
+                for b in others:
+                    place = np.searchsorted(mine, sets[b])
+                    same = int((mine[np.minimum(place, len(mine) - 1)] == sets[b]).sum())
+                    out.append((a, b, same, len(mine), len(sets[b])))
+        columns = np.array(out, dtype=np.int64).reshape(-1, 5)
+        return pa.table({k: pa.array(columns[:, i].copy()) for i, k in enumerate(("a", "b", "same", "na", "nb"))})
+
+    return grouped.groupBy("g").cogroup(sent.groupBy("g")).applyInArrow(count, _VERIFIED)
+
+
+def _entries(size: int, percent: int, hot: np.ndarray, times: np.ndarray):
+    """The first shingles, in the common order, of each chosen representative's set."""
+
+    def run(group: pa.Table, wanted: pa.Table) -> pa.Table:
+        out: list[tuple[np.ndarray, ...]] = []
+        if len(wanted):
+            anchors = dict(zip(wanted["node"].to_pylist(), wanted["anchor"].to_pylist(), strict=True))
+            for node, values in _chosen(group, wanted["doc_id"].to_numpy(), size).items():
+                if node not in anchors:
+                    continue
+                n = len(values)
+                reach = n - (percent * n + 99) // 100 + 1
+                if len(hot):
+                    place = np.minimum(np.searchsorted(hot, values), len(hot) - 1)
+                    rate = np.where(hot[place] == values, times[place], 0)
+                    values = values[np.argsort(rate, kind="stable")]
+                out.append((values[:reach].view(np.int64), np.full(reach, node), np.full(reach, anchors[node]), (n << 32) + np.arange(reach)))
+        parts = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4
+        return pa.table(dict(zip(("h", "node", "anchor", "place"), map(pa.array, parts), strict=True)))
+
+    return run
+
+
+#: Sets in a block of an index list.
+BLOCK = 256
+
+
+def _list_pairs(anchor: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of different anchors in one index list that size and place leave open."""
+    order = np.lexsort((place, n))
+    anchor, n, place = anchor[order], n[order], place[order]
+    rest = n - place  # shingles from here on, this one included
+    found = []
+    for lo in range(0, len(n), BLOCK):  # larger sets, a block at a time
+        hi = min(lo + BLOCK, len(n))
+        least = np.searchsorted(n, -(-percent * n[lo] // 100))
+        for at in range(least - least % BLOCK, hi, BLOCK):  # smaller or equal ones
+            to = min(at + BLOCK, hi)
+            # The whole block is skipped if even its best place leaves too few shingles for its smallest set.
+            if min(rest[at:to].max(), rest[lo:hi].max()) * (100 + percent) < percent * (n[at] + n[lo]):
+                continue
+            x, y = np.ix_(np.arange(at, to), np.arange(lo, hi))
+            ok = (anchor[x] != anchor[y]) & (100 * n[x] >= percent * n[y]) & (np.minimum(rest[x], rest[y]) * (100 + percent) >= percent * (n[x] + n[y])) & (x < y)
+            i, j = np.nonzero(ok)
+            if len(i):
+                pairs = np.stack([anchor[at + i], anchor[lo + j]], axis=1)
+                found.append(np.unique(np.sort(pairs, axis=1), axis=0))
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+
+
+def _scan_lists(percent: int):
+    """Candidate pairs of anchors from rows sorted by shingle; a list may go on in the next batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def pairs(rows: np.ndarray) -> pa.RecordBatch:
+            bounds = np.concatenate([[0], np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1, [len(rows)]])
+            out = []
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                if b - a > 1 and (rows[a:b, 1] != rows[a, 1]).any():
+                    out.append(_list_pairs(rows[a:b, 1], rows[a:b, 2] >> 32, rows[a:b, 2] & 0xFFFFFFFF, percent))
+            got = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], _PAIR)
+
+        for batch in batches:
+            rows = np.stack([batch[k].to_numpy(zero_copy_only=False) for k in ("h", "anchor", "place")], axis=1)
+            if not len(rows):
+                continue
+            cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
+            if cut:
+                yield pairs(np.concatenate([*held, rows[:cut]]))
+                held = []
+            held.append(rows[cut:])
+        if held:
+            yield pairs(np.concatenate(held))
+
+    return run
+
+
+def links(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
+    """(members, edges): each document with its size and class (f1), and the verified links (u, v) that tie classes.
+
+    The edges hold, for each two linked classes, a path of links: a class tied to the anchor of another one by a link
+    is in the same component, so that the members' own links need no counting.
+    """
+    grouped, groups = text_groups(docs)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sketches = materialised(slim.mapInArrow(_sketches(size), _SKETCH), "sketches")
+    members = sketches.filter("not hot").select("doc_id", "n", "f1", "f2")
+    bands = [f"b{i}" for i in range(BANDS)]
+    usable = sketches.filter("not hot and n > 0 and doc_id is not null")
+    classes = usable.groupBy(F.col("f1").alias("node")).agg(F.min(F.struct("doc_id", "n", *bands)).alias("r")).select("node", "r.*")
+    top = sketches.filter("hot").groupBy("f1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "f1").limit(HOT).toArrow()
+    top = top.sort_by("f1")
+    hot, times = top["f1"].to_numpy().view(np.uint64), top["n"].to_numpy()
+
+    linked = F.expr(f"100 * same >= {percent} * (na + nb - same)")
+    # Centres: in each band the class with the smallest document.
+    by_band = classes.select("node", "doc_id", "n", F.posexplode(F.array(*bands)).alias("band", "key")).filter("key <> 0")
+    centre = by_band.groupBy("band", "key").agg(F.min(F.struct("doc_id", "node", "n")).alias("c"))
+    proposed = (
+        by_band.join(centre, ["band", "key"])
+        .filter(f"node <> c.node and 100 * least(n, c.n) >= {percent} * greatest(n, c.n)")
+        .select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
+    )
+    first = _verified(proposed, grouped, groups, classes, size).filter(linked).withColumn("far", F.expr("1 - same / (na + nb - same)"))
+    # A class is anchored at the nearest centre that isn't itself anchored; centres without a link are their own.
+    tied = first.select("b").distinct()
+    anchored = first.join(tied.withColumnRenamed("b", "a"), "a", "left_anti").groupBy("b").agg(F.min(F.struct("far", "a")).alias("m")).select(F.col("b").alias("node"), F.col("m.a").alias("anchor"), F.col("m.far").alias("far"))
+    nodes = classes.select("node", "doc_id").join(anchored, "node", "left").select("node", "doc_id", F.coalesce("anchor", "node").alias("anchor"), F.coalesce("far", F.lit(0.0)).alias("far"))
+
+    wanted = nodes.withColumn("g", group_of("doc_id", groups))
+    entries = grouped.groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(_entries(size, percent, hot, times), "h long, node long, anchor long, place long")
+    entries = entries.select("h", "anchor", "place").repartition("h")
+    # Lists of one set, or of the sets of one anchor, are settled. The rest are few.
+    mixed = F.min("anchor").over(Window.partitionBy("h")) != F.max("anchor").over(Window.partitionBy("h"))
+    lists = entries.withColumn("mixed", mixed).filter("mixed").select("h", "anchor", "place").sortWithinPartitions("h")
+    pivots = lists.mapInArrow(_scan_lists(percent), "a long, b long").distinct()
+    second = _verified(pivots, grouped, groups, classes, size)
+    # Where the distance of two anchors leaves it open, their members are compared, as far as the distances allow.
+    wide = nodes.groupBy("anchor").agg(F.max("far").alias("wide"))
+    side = lambda k: wide.select(F.col("anchor").alias(k), F.col("wide").alias(f"{k}_wide"))
+    apart = F.expr("1 - same / (na + nb - same)")
+    slack = 1 - percent / 100 + 1e-9
+    open_ = second.filter(~linked).join(side("a"), "a").join(side("b"), "b").withColumn("apart", apart).filter(f"a_wide + b_wide > 0 and apart - a_wide - b_wide <= {slack}")
+    member = lambda k: nodes.select(F.col("anchor").alias(k), F.col("node").alias(f"{k}_node"), F.col("far").alias(f"{k}_far"))
+    singles = (
+        open_.select("a", "b", "apart").join(member("a"), "a").join(member("b"), "b")
+        .filter(f"apart - a_far - b_far <= {slack} and not (a_node = a and b_node = b)")
+        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    )
+    third = _verified(singles, grouped, groups, classes, size)
+    edges = first.select("a", "b").unionByName(second.filter(linked).select("a", "b")).unionByName(third.filter(linked).select("a", "b"))
+    return members, materialised(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "links")
+
+
+def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id: the smallest doc_id that links of at least ``percent`` / 100 reach."""
+    members, edges = links(docs, size, percent)
+    roots = components(edges).withColumnRenamed("node", "f1")
+    placed = members.filter("n > 0 and doc_id is not null").select("doc_id", "n", "f1")
+    least = placed.groupBy("f1").agg(F.min("doc_id").alias("least")).join(roots, "f1", "left").select("f1", "least", F.coalesce("root", "f1").alias("root"))
+    named = least.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_class = least.join(named, "root").select("f1", "component_id")
+    full = placed.join(by_class, "f1").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    empty = members.filter("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return full.unionByName(empty)
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))

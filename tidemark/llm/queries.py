@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.jaccard_join import op7_jaccard_join
 from tidemark.llm.substring_dedup import op3_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
