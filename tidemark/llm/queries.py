@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontaminate import OP4_SQL, op4_decontaminate
 from tidemark.llm.jaccard_join import op7_jaccard_join
+from tidemark.llm.mixture import OP8_SQL, op8_mixture
 from tidemark.llm.substring_dedup import op3_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_decontaminate": op4_decontaminate,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_mixture": op8_mixture,
+}
+ORACLES: dict[str, str] = {
+    "op4_decontaminate": OP4_SQL,
+    "op8_mixture": OP8_SQL,
 }
-ORACLES: dict[str, str] = {}
