@@ -10,10 +10,12 @@ from tidemark.llm.decontaminate import OP4_SQL, op4_decontaminate
 from tidemark.llm.jaccard_join import op7_jaccard_join
 from tidemark.llm.mixture import OP8_SQL, op8_mixture
 from tidemark.llm.substring_dedup import op3_substring_dedup
+from tidemark.llm.token_files import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
+    "op5_token_files": op5_token_files,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_mixture": op8_mixture,
 }
