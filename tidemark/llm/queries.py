@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.decontaminate import OP4_SQL, op4_decontaminate
 from tidemark.llm.jaccard_join import op7_jaccard_join
 from tidemark.llm.mixture import OP8_SQL, op8_mixture
+from tidemark.llm.quality_rules import op9_quality_rules
 from tidemark.llm.substring_dedup import op3_substring_dedup
 from tidemark.llm.token_files import op5_token_files
 
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_mixture": op8_mixture,
+    "op9_quality_rules": op9_quality_rules,
 }
 ORACLES: dict[str, str] = {
     "op4_decontaminate": OP4_SQL,
