@@ -4,17 +4,20 @@ A document's set holds the hashes of its distinct shingles. Documents with equal
 of the work is on one representative of each class. Shingles have one order for all sets, rare ones first, and
 two sets with a Jaccard similarity of t or more share a shingle among the first n - ceil(t n) + 1 of each.
 
-Skipping by answers: a cheap hash of part of each set proposes centres; whichever set is found, exactly, to
-be similar to its centre is anchored there and keeps its distance. What is then known of the centre holds for
-the anchored set up to that distance (Jaccard distance is a metric): sets of one anchor are never compared;
-of two anchors only the centres are, and single members only where the centres' distance leaves it open.
+Skipping by answers: the least hash in each part of the hash space proposes a centre to each set; sets that are
+exactly found to be linked with centres form first components. One of each component's sets is its root, and every
+member keeps its exact distance from it. What is then known of the root holds for a member up to that distance
+(Jaccard distance is a metric): sets of one component are never compared; of two components only the roots are, and
+single members only where the roots' distance leaves it open.
 
 Skipping in the index: lists of sets by shingle keep the sets' sizes and the shingle's place in them. A list
 is sorted by size, in blocks by place, and a block is skipped from the first place on at which too few
 shingles are left for a sufficient overlap.
 
-Intersections are counted on whole sets, so no link depends on the proposals. Texts are shuffled once; all
-steps over them share that exchange.
+Intersections are counted on whole sets, so no link depends on the proposals. Texts are never shuffled as a whole:
+sketches and index entries are made where a text is read, and to count intersections only texts that are in some pair
+travel. They are picked by a table of ``SLOTS`` bytes, which is of a fixed size whatever the input; what it lets pass
+by chance is dropped by the join after it.
 
 Defined results: a null, empty or blank text has an empty set, no links and itself as its component; a null
 doc_id takes no part in links and keeps a null component; rows with one doc_id are each judged by their own
@@ -32,12 +35,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.grouping import group_of, materialised, text_groups
+from tidemark.llm.grouping import group_of, materialised
 from tidemark.llm.words import Words, mix, text_chunks, window_hashes, window_starts
 
 BITS = np.uint64(48)
 _MASK = (np.uint64(1) << BITS) - np.uint64(1)
-BANDS = 4
+BANDS = 8
 #: Shingles known to be frequent; the others count as rare and come in the order of their hashes. Only the order of
 #: the index depends on it, no result.
 HOT = 200_000
@@ -73,18 +76,14 @@ def _fingerprints(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _bands(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For each document and band a hash of the least shingles in two parts of the hash space; 0 where a part is empty."""
-    parts = 2 * BANDS
+    """For each document the least shingle, plus one, in each of BANDS parts of the hash space; 0 where a part is empty."""
     n = len(first) - 1
     doc = np.repeat(np.arange(n), np.diff(first))
-    part = (sets >> (BITS - np.uint64(3))).astype(np.int64)
-    place = doc * parts + part
+    place = doc * BANDS + (sets * np.uint64(BANDS) >> BITS).astype(np.int64)
     lead = np.concatenate([[True], place[1:] != place[:-1]]) if len(place) else np.zeros(0, bool)
-    least = np.zeros(n * parts, dtype=np.uint64)
+    least = np.zeros(n * BANDS, dtype=np.uint64)
     least[place[lead]] = sets[lead] + np.uint64(1)
-    least = least.reshape(n, BANDS, 2)
-    both = mix(least[:, :, 0] * np.uint64(0x9E3779B97F4A7C15) + mix(least[:, :, 1])) + np.arange(BANDS, dtype=np.uint64)
-    return np.where((least > 0).all(axis=2), both, 0).view(np.int64)
+    return least.reshape(n, BANDS).view(np.int64)
 
 
 _SKETCH = "hot boolean, doc_id long, n long, f1 long, f2 long, " + ", ".join(f"b{i} long" for i in range(BANDS))
@@ -138,15 +137,24 @@ def _chosen(group: pa.Table, docs: np.ndarray, size: int) -> dict[int, np.ndarra
 
 _PAIR = ["a", "b"]
 _VERIFIED = "a long, b long, same long, na long, nb long"
+#: Bytes of the table by which texts are picked.
+SLOTS = 1 << 20
 
 
-def _verified(pairs: DataFrame, grouped: DataFrame, groups: int, classes: DataFrame, size: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """The pairs (a, b) of classes with the size of their sets' intersection and of both sets, counted exactly.
 
     The set of a travels once to each group of documents that holds some b; b's set is made there.
     """
     at = lambda side: classes.select(F.col("node").alias(side), F.col("doc_id").alias(f"{side}_doc"))
-    placed = pairs.join(at("a"), "a").join(at("b"), "b").withColumn("g", group_of("a_doc", groups)).withColumn("to", group_of("b_doc", groups))
+    placed = materialised(pairs.join(at("a"), "a").join(at("b"), "b"), "pairs")
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
+    used = placed.select(F.explode(F.array(slot("a_doc"), slot("b_doc"))).alias("slot")).distinct().toArrow()["slot"].to_numpy()
+    table = bytearray(SLOTS)
+    np.frombuffer(table, np.uint8)[used] = 1
+    picked = docs.filter(F.substring(F.lit(bytes(table)), slot("doc_id") + 1, 1) == F.lit(b"\x01"))
+    groups = max(1, -(-len(used) // 200))
+    grouped = picked.select(group_of("doc_id", groups).alias("g"), "doc_id", "text")
 
     def send(group: pa.Table, wanted: pa.Table) -> pa.Table:
         if not len(wanted):
@@ -155,7 +163,8 @@ def _verified(pairs: DataFrame, grouped: DataFrame, groups: int, classes: DataFr
         each = wanted.group_by(["to", "a"]).aggregate([("b", "list"), ("b_doc", "list")])
         return pa.table({"g": each["to"], "a": each["a"], "a_set": pa.array([sets[a].view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for a in each["a"].to_pylist()], pa.binary()), "b": each["b_list"], "b_doc": each["b_doc_list"]})
 
-    sent = grouped.groupBy("g").cogroup(placed.groupBy("g")).applyInArrow(send, "g int, a long, a_set binary, b array<long>, b_doc array<long>")
+    routed = placed.withColumn("g", group_of("a_doc", groups)).withColumn("to", group_of("b_doc", groups))
+    sent = grouped.groupBy("g").cogroup(routed.groupBy("g")).applyInArrow(send, "g int, a long, a_set binary, b array<long>, b_doc array<long>")
 
     def count(group: pa.Table, wanted: pa.Table) -> pa.Table:
         out: list[tuple[int, ...]] = []
@@ -173,28 +182,38 @@ def _verified(pairs: DataFrame, grouped: DataFrame, groups: int, classes: DataFr
         columns = np.array(out, dtype=np.int64).reshape(-1, 5)
         return pa.table({k: pa.array(columns[:, i].copy()) for i, k in enumerate(("a", "b", "same", "na", "nb"))})
 
-    return grouped.groupBy("g").cogroup(sent.groupBy("g")).applyInArrow(count, _VERIFIED)
+    return materialised(grouped.groupBy("g").cogroup(sent.groupBy("g")).applyInArrow(count, _VERIFIED), "verified")
 
 
 def _entries(size: int, percent: int, hot: np.ndarray, times: np.ndarray):
-    """The first shingles, in the common order, of each chosen representative's set."""
+    """The first shingles, in the common order, of each set; a task gives equal sets once."""
 
-    def run(group: pa.Table, wanted: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, ...]] = []
-        if len(wanted):
-            anchors = dict(zip(wanted["node"].to_pylist(), wanted["anchor"].to_pylist(), strict=True))
-            for node, values in _chosen(group, wanted["doc_id"].to_numpy(), size).items():
-                if node not in anchors:
-                    continue
-                n = len(values)
-                reach = n - (percent * n + 99) // 100 + 1
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: set[int] = set()
+        for batch in batches:
+            for _, _, w in text_chunks(pa.chunked_array([batch["text"]]), lower=True):
+                sets, first = shingle_sets(w, size)
+                nodes = _fingerprints(sets, first)[0].tolist()
+                new = np.zeros(len(nodes), dtype=bool)
+                for i, node in enumerate(nodes):
+                    if first[i + 1] > first[i] and node not in held:
+                        held.add(node)
+                        new[i] = True
+                n = np.diff(first)
+                doc = np.repeat(np.arange(len(n)), n)
                 if len(hot):
-                    place = np.minimum(np.searchsorted(hot, values), len(hot) - 1)
-                    rate = np.where(hot[place] == values, times[place], 0)
-                    values = values[np.argsort(rate, kind="stable")]
-                out.append((values[:reach].view(np.int64), np.full(reach, node), np.full(reach, anchors[node]), (n << 32) + np.arange(reach)))
-        parts = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4
-        return pa.table(dict(zip(("h", "node", "anchor", "place"), map(pa.array, parts), strict=True)))
+                    place = np.minimum(np.searchsorted(hot, sets), len(hot) - 1)
+                    rate = np.where(hot[place] == sets, times[place], 0)
+                    often = rate > 0
+                    # Rare ones are in order; where a set has frequent ones, it is sorted anew.
+                    for i in np.unique(doc[often]).tolist():
+                        a, b = first[i], first[i + 1]
+                        sets[a:b] = sets[a:b][np.argsort(rate[a:b], kind="stable")]
+                place = np.arange(len(sets)) - np.repeat(first[:-1], n)
+                reach = n - (percent * n + 99) // 100 + 1
+                use = new[doc] & (place < reach[doc])
+                ids = np.array(nodes, dtype=np.int64)[doc[use]]
+                yield pa.RecordBatch.from_arrays([pa.array(sets[use].view(np.int64)), pa.array(ids), pa.array((n[doc[use]] << 32) + place[use])], ["h", "node", "place"])
 
     return run
 
@@ -203,10 +222,10 @@ def _entries(size: int, percent: int, hot: np.ndarray, times: np.ndarray):
 BLOCK = 256
 
 
-def _list_pairs(anchor: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs of different anchors in one index list that size and place leave open."""
+def _list_pairs(root: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of different roots in one index list that size and place leave open."""
     order = np.lexsort((place, n))
-    anchor, n, place = anchor[order], n[order], place[order]
+    root, n, place = root[order], n[order], place[order]
     rest = n - place  # shingles from here on, this one included
     found = []
     for lo in range(0, len(n), BLOCK):  # larger sets, a block at a time
@@ -218,16 +237,16 @@ def _list_pairs(anchor: np.ndarray, n: np.ndarray, place: np.ndarray, percent: i
             if min(rest[at:to].max(), rest[lo:hi].max()) * (100 + percent) < percent * (n[at] + n[lo]):
                 continue
             x, y = np.ix_(np.arange(at, to), np.arange(lo, hi))
-            ok = (anchor[x] != anchor[y]) & (100 * n[x] >= percent * n[y]) & (np.minimum(rest[x], rest[y]) * (100 + percent) >= percent * (n[x] + n[y])) & (x < y)
+            ok = (root[x] != root[y]) & (100 * n[x] >= percent * n[y]) & (np.minimum(rest[x], rest[y]) * (100 + percent) >= percent * (n[x] + n[y])) & (x < y)
             i, j = np.nonzero(ok)
             if len(i):
-                pairs = np.stack([anchor[at + i], anchor[lo + j]], axis=1)
+                pairs = np.stack([root[at + i], root[lo + j]], axis=1)
                 found.append(np.unique(np.sort(pairs, axis=1), axis=0))
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
 
 def _scan_lists(percent: int):
-    """Candidate pairs of anchors from rows sorted by shingle; a list may go on in the next batch."""
+    """Candidate pairs of roots from rows sorted by shingle; a list may go on in the next batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -242,7 +261,7 @@ def _scan_lists(percent: int):
             return pa.RecordBatch.from_arrays([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], _PAIR)
 
         for batch in batches:
-            rows = np.stack([batch[k].to_numpy(zero_copy_only=False) for k in ("h", "anchor", "place")], axis=1)
+            rows = np.stack([batch[k].to_numpy(zero_copy_only=False) for k in ("h", "root", "place")], axis=1)
             if not len(rows):
                 continue
             cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
@@ -257,60 +276,69 @@ def _scan_lists(percent: int):
 
 
 def links(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """(members, edges): each document with its size and class (f1), and the verified links (u, v) that tie classes.
+    """(members, edges): each document with its size and class (f1), and verified links (u, v) between classes.
 
-    The edges hold, for each two linked classes, a path of links: a class tied to the anchor of another one by a link
-    is in the same component, so that the members' own links need no counting.
+    The edges tie all classes that links tie. Links inside a component that is known already aren't counted one by one.
     """
-    grouped, groups = text_groups(docs)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = materialised(slim.mapInArrow(_sketches(size), _SKETCH), "sketches")
     members = sketches.filter("not hot").select("doc_id", "n", "f1", "f2")
     bands = [f"b{i}" for i in range(BANDS)]
     usable = sketches.filter("not hot and n > 0 and doc_id is not null")
     classes = usable.groupBy(F.col("f1").alias("node")).agg(F.min(F.struct("doc_id", "n", *bands)).alias("r")).select("node", "r.*")
+    classes = materialised(classes, "classes")
     top = sketches.filter("hot").groupBy("f1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "f1").limit(HOT).toArrow()
     top = top.sort_by("f1")
     hot, times = top["f1"].to_numpy().view(np.uint64), top["n"].to_numpy()
 
     linked = F.expr(f"100 * same >= {percent} * (na + nb - same)")
+    apart = F.expr("1 - same / (na + nb - same)")
     # Centres: in each band the class with the smallest document.
     by_band = classes.select("node", "doc_id", "n", F.posexplode(F.array(*bands)).alias("band", "key")).filter("key <> 0")
-    centre = by_band.groupBy("band", "key").agg(F.min(F.struct("doc_id", "node", "n")).alias("c"))
+    centre = by_band.groupBy("band", "key").agg(F.min(F.struct("doc_id", "node", "n")).alias("c"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     proposed = (
         by_band.join(centre, ["band", "key"])
         .filter(f"node <> c.node and 100 * least(n, c.n) >= {percent} * greatest(n, c.n)")
         .select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
     )
-    first = _verified(proposed, grouped, groups, classes, size).filter(linked).withColumn("far", F.expr("1 - same / (na + nb - same)"))
-    # A class is anchored at the nearest centre that isn't itself anchored; centres without a link are their own.
-    tied = first.select("b").distinct()
-    anchored = first.join(tied.withColumnRenamed("b", "a"), "a", "left_anti").groupBy("b").agg(F.min(F.struct("far", "a")).alias("m")).select(F.col("b").alias("node"), F.col("m.a").alias("anchor"), F.col("m.far").alias("far"))
-    nodes = classes.select("node", "doc_id").join(anchored, "node", "left").select("node", "doc_id", F.coalesce("anchor", "node").alias("anchor"), F.coalesce("far", F.lit(0.0)).alias("far"))
-
-    wanted = nodes.withColumn("g", group_of("doc_id", groups))
-    entries = grouped.groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(_entries(size, percent, hot, times), "h long, node long, anchor long, place long")
-    entries = entries.select("h", "anchor", "place").repartition("h")
-    # Lists of one set, or of the sets of one anchor, are settled. The rest are few.
-    mixed = F.min("anchor").over(Window.partitionBy("h")) != F.max("anchor").over(Window.partitionBy("h"))
-    lists = entries.withColumn("mixed", mixed).filter("mixed").select("h", "anchor", "place").sortWithinPartitions("h")
+    first = _verified(proposed, slim, classes, size)
+    roots = materialised(components(first.filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
+    # Every member's distance from its root, counted unless it was already.
+    rooted = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    rest = _verified(rooted.join(first, ["a", "b"], "left_anti"), slim, classes, size)
+    far = rooted.join(first.unionByName(rest), ["a", "b"]).select(F.col("a").alias("root"), F.col("b").alias("node"), apart.alias("far"))
+
+    entries = slim.filter("doc_id is not null").mapInArrow(_entries(size, percent, hot, times), "h long, node long, place long").repartition("h")
+    # Lists of one set, or of the sets of one component, are settled. The rest are few.
+    differ = lambda c: F.min(c).over(Window.partitionBy("h")) != F.max(c).over(Window.partitionBy("h"))
+    lists = entries.withColumn("differ", differ("node")).filter("differ").select("h", "node", "place")
+    lists = lists.join(roots, "node", "left").select("h", F.coalesce("root", "node").alias("root"), "place")
+    lists = lists.withColumn("differ", differ("root")).filter("differ").select("h", "root", "place").sortWithinPartitions("h")
     pivots = lists.mapInArrow(_scan_lists(percent), "a long, b long").distinct()
-    second = _verified(pivots, grouped, groups, classes, size)
-    # Where the distance of two anchors leaves it open, their members are compared, as far as the distances allow.
-    wide = nodes.groupBy("anchor").agg(F.max("far").alias("wide"))
-    side = lambda k: wide.select(F.col("anchor").alias(k), F.col("wide").alias(f"{k}_wide"))
-    apart = F.expr("1 - same / (na + nb - same)")
+    second = _verified(pivots, slim, classes, size)
+    edges = [first.filter(linked), rest.filter(linked), second.filter(linked)]
+    # Where the distance of two roots leaves it open, their members are compared, as far as the distances allow.
+    wide = far.groupBy("root").agg(F.max("far").alias("wide"))
+    side = lambda k: wide.select(F.col("root").alias(k), F.col("wide").alias(f"{k}_wide"))
     slack = 1 - percent / 100 + 1e-9
-    open_ = second.filter(~linked).join(side("a"), "a").join(side("b"), "b").withColumn("apart", apart).filter(f"a_wide + b_wide > 0 and apart - a_wide - b_wide <= {slack}")
-    member = lambda k: nodes.select(F.col("anchor").alias(k), F.col("node").alias(f"{k}_node"), F.col("far").alias(f"{k}_far"))
-    singles = (
-        open_.select("a", "b", "apart").join(member("a"), "a").join(member("b"), "b")
-        .filter(f"apart - a_far - b_far <= {slack} and not (a_node = a and b_node = b)")
-        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    )
-    third = _verified(singles, grouped, groups, classes, size)
-    edges = first.select("a", "b").unionByName(second.filter(linked).select("a", "b")).unionByName(third.filter(linked).select("a", "b"))
-    return members, materialised(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "links")
+    met = second.filter(~linked).withColumn("apart", apart).join(side("a"), "a", "left").join(side("b"), "b", "left")
+    reach = F.coalesce("a_wide", F.lit(0.0)) + F.coalesce("b_wide", F.lit(0.0))
+    open_ = materialised(met.filter((reach > 0) & (F.col("apart") - reach <= slack)).select("a", "b", "apart"), "open")
+    if open_.head(1):
+        full = far.unionByName(far.select("root", F.col("root").alias("node"), F.lit(0.0).alias("far")).distinct())
+        alone = open_.select(F.explode(F.array("a", "b")).alias("root")).distinct().join(far, "root", "left_anti")
+        full = full.unionByName(alone.select("root", F.col("root").alias("node"), F.lit(0.0).alias("far")))
+        member = lambda k: full.select(F.col("root").alias(k), F.col("node").alias(f"{k}_node"), F.col("far").alias(f"{k}_far"))
+        singles = (
+            open_.join(member("a"), "a").join(member("b"), "b")
+            .filter(f"apart - a_far - b_far <= {slack} and not (a_node = a and b_node = b)")
+            .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+        )
+        edges.append(_verified(singles, slim, classes, size).filter(linked))
+    tied = edges[0]
+    for more in edges[1:]:
+        tied = tied.unionByName(more)
+    return members, tied.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
