@@ -20,16 +20,19 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Estimated bytes of the test windows up to which they are broadcast.
 BROADCAST_BYTES = 64_000_000
+_NO_WINDOW = 0
 
 
 def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
-def _windows(words: Column, length: int) -> Column:
-    """(hash, place, length) of every window of so many words."""
-    starts = F.slice(words, 1, F.greatest(F.size(words) - (length - 1), F.lit(0)))
-    return F.transform(starts, lambda _, i: F.struct(F.xxhash64(F.slice(words, i + 1, length)).alias("hash"), i.alias("at"), F.lit(length).alias("length")))
+def _hash(word_hashes: Column, at: Column | int, length: int) -> Column:
+    return F.xxhash64(*[F.get(word_hashes, F.lit(at) + k if isinstance(at, int) else at + k) for k in range(length)])
+
+
+def _window_hashes(length: int) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.size("wh") - length), lambda i: _hash(F.col("wh"), i, length))
 
 
 def benchmark_windows(benchmark: DataFrame, size: int) -> DataFrame:
@@ -38,7 +41,11 @@ def benchmark_windows(benchmark: DataFrame, size: int) -> DataFrame:
     length = F.least(F.size("words"), F.lit(size))
     starts = F.sequence(F.lit(1), F.size("words") - length + 1)
     rows = items.select("item", F.explode(F.transform(starts, lambda i: F.slice("words", i, length))).alias("window"))
-    return rows.groupBy("window").agg(F.collect_set("item").alias("items")).select(F.xxhash64("window").alias("hash"), F.size("window").alias("length"), "window", "items")
+    tests = rows.groupBy("window").agg(F.collect_set("item").alias("items")).withColumn("length", F.size("window")).withColumn("wh", F.transform("window", lambda w: F.xxhash64(w)))
+    value = F.lit(None).cast("long")
+    for n in range(1, size + 1):
+        value = F.when(F.col("length") == n, _hash(F.col("wh"), 0, n)).otherwise(value)
+    return tests.select(value.alias("hash"), "length", "window", "items")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
@@ -46,22 +53,35 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     return _scan(docs.select("doc_id", F.col("text").cast("string").alias("text")), benchmark, size)
 
 
-def _scan(docs: DataFrame, benchmark: DataFrame, size: int, extra: tuple[str, ...] = ()) -> DataFrame:
+def _scan(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
     tests = benchmark_windows(benchmark, size)
     sizes, n_bytes = tests.agg(F.collect_set("length"), F.sum(F.aggregate("window", F.lit(40), lambda a, w: a + F.octet_length(w) + 16) + 24 * F.size("items"))).first()
-    tests = tests.withColumnRenamed("length", "test_length")
+    sizes = sorted(sizes or [])
+    # A row without a window stands for the document itself, hit or not: one entry of each document has its hash.
+    none = tests.sparkSession.range(1).select(F.lit(_NO_WINDOW).alias("hash"), F.lit(0).alias("length"), F.lit(None).cast("array<string>").alias("window"), F.lit(None).cast("array<string>").alias("items"))
+    tests = tests.unionByName(none)
     if (n_bytes or 0) <= BROADCAST_BYTES:
         tests = F.broadcast(tests)
-    words = docs.select("doc_id", *extra, F.monotonically_increasing_id().alias("row"), words_of(F.col("text")).alias("words"))
-    # One more entry without a hash keeps the document, hit or not.
-    blank = F.array(F.struct(F.lit(None).cast("long").alias("hash"), F.lit(0).alias("at"), F.lit(0).alias("length")))
-    each = words.withColumn("w", F.explode(F.concat(blank, *[_windows(F.col("words"), n) for n in sorted(sizes or [])])))
-    met = each.join(tests, F.col("w.hash") == F.col("hash"), "left")
-    hit = F.col("window").isNotNull() & (F.slice("words", F.col("w.at") + 1, F.greatest(F.col("w.length"), F.lit(1))) == F.col("window"))
-    rows = met.withColumn("hit", F.coalesce(hit, F.lit(False))).filter(F.col("hit") | F.col("w.hash").isNull())
-    span = F.when(F.col("hit"), F.struct(F.col("w.at").alias("at"), F.col("w.length").alias("length")))
-    found = rows.groupBy("row", "doc_id", *extra).agg(
-        F.max(F.size("words")).cast("long").alias("n_words"),
+    words = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), words_of(F.col("text")).alias("words"))
+    hashed = words.withColumn("wh", F.transform("words", lambda w: F.xxhash64(w)))
+    many = F.size("words")
+    each = [F.when(many >= n, _window_hashes(n)).otherwise(F.array().cast("array<long>")) for n in sizes]
+    # The array is a column of its own, so that exploding it and the join stay in generated code; the outer form, for
+    # which Spark infers no filter on the array's size that would make the array a second time.
+    hashed = hashed.withColumn("hashes", F.concat(F.array(F.lit(_NO_WINDOW).cast("long")), *each))
+    placed = hashed.select("doc_id", "row", "words", F.posexplode_outer("hashes").alias("place", "at_hash"))
+    # The join alone decides which windows go on; its rows are few, and only they are made with their document's words.
+    met = placed.join(tests, F.col("at_hash") == F.col("hash"))
+    at, before = F.lit(None).cast("int"), F.lit(1)
+    for n in sizes:
+        at = F.when(F.col("length") == n, F.col("place") - before).otherwise(at)
+        before = before + F.greatest(many - (n - 1), F.lit(0))
+    met = met.withColumn("at", at)
+    same = F.forall(F.sequence(F.lit(0), F.col("length") - 1), lambda k: F.coalesce(F.get("words", F.col("at") + k) == F.get("window", k), F.lit(False)))
+    met = met.withColumn("n_words", many).withColumn("hit", F.when(F.col("window").isNotNull() & (F.col("at") >= 0), same).otherwise(F.lit(False)))
+    span = F.when(F.col("hit"), F.struct("at", "length"))
+    found = met.groupBy("row", "doc_id").agg(
+        F.max("n_words").cast("long").alias("n_words"),
         F.sort_array(F.collect_set(span)).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("hit"), F.col("items")))))).alias("items"),
     )
@@ -72,7 +92,7 @@ def _scan(docs: DataFrame, benchmark: DataFrame, size: int, extra: tuple[str, ..
         lambda a, s: F.struct(F.greatest(a["end"], s["at"] + s["length"]).alias("end"), (a["n"] + F.greatest(s["at"] + s["length"] - F.greatest(a["end"], s["at"]), F.lit(0))).alias("n")),
     )
     return found.withColumn("n_hit", covered["n"].cast("long")).select(
-        "row", "doc_id", *extra, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated")
+        "row", "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated")
     )
 
 
