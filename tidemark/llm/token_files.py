@@ -18,12 +18,15 @@ first; rows with one doc_id follow each other in any order; extra columns are ig
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,8 +39,14 @@ PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 18
 END_ID = 1
 #: Words whose ids an encoder remembers; when there are more it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_200_000
 _LANES = 64
+#: Fixed value: how the tokenizer's file splits a text into pieces.
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_BEYOND = "\u0100"
+# Byte-level models write a byte as a printable sign: itself where that is printable in Latin-1, else the next free one.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_SIGNS = {b: b for b in _PRINTED} | {b: 0x100 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -126,6 +135,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        kinds = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"]
+        # Pieces are split here only where the file says how, and that way is this one; else the library does it all.
+        known = [k["type"] for k in kinds] == ["Split", "ByteLevel"] and kinds[0]["pattern"].get("Regex") == PIECE
+        self.split = regex.compile(PIECE).findall if known else None
         self._forget()
 
     def _forget(self) -> None:
@@ -133,31 +146,51 @@ class Encoder:
         self.ids = np.zeros(1 << 20, dtype=np.uint32)
         self.bounds = np.zeros(1 << 18, dtype=np.int64)
         self.n = 0
+        self.pieces: dict[str, list[int]] = {}
 
-    def _add(self, word: bytes, ids: list[int]) -> None:
-        a = int(self.bounds[self.n])
-        b = a + len(ids)
+    def _add(self, words: list[bytes], ids: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        a, end = int(self.bounds[self.n]), self.n + len(ids)
+        b = a + int(sizes.sum())
         if b > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.uint32)])
-        if self.n + 2 > len(self.bounds):
-            self.bounds = np.concatenate([self.bounds, np.zeros(len(self.bounds), np.int64)])
-        self.ids[a:b] = ids
-        self.bounds[self.n + 1] = b
-        self.known[word] = self.n
-        self.n += 1
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), b - a), np.uint32)])
+        if end + 1 > len(self.bounds):
+            self.bounds = np.concatenate([self.bounds, np.zeros(max(len(self.bounds), len(ids) + 1), np.int64)])
+        self.ids[a:b] = np.fromiter(chain.from_iterable(ids), np.uint32, b - a)
+        self.bounds[self.n + 1 : end + 1] = a + np.cumsum(sizes)
+        self.known.update(zip(words, range(self.n, end), strict=True))
+        self.n = end
+
+    def _piece(self, piece: str) -> list[int]:
+        got = self.pieces.get(piece)
+        if got is None:
+            raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_SIGNS)
+            got = self.pieces[piece] = [x.id for x in self.tokenizer.model.tokenize(raw)]
+        return got
 
     def _learn(self, words: list[bytes]) -> None:
-        # A comma or full stop after an ASCII letter or digit is a token of its own.
-        ends = {w for w in words if w[-1:] in b",." and w[-2:-1].isalnum()}
-        new = dict.fromkeys(w[:-1] if w in ends else w for w in words)
-        new |= dict.fromkeys((b",", b"."))
-        new = [w for w in new if w not in self.known]
-        for w, e in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self._add(w, e.ids)
-        for w in ends:
-            core, end = self.known[w[:-1]], self.known[w[-1:]]
-            parts = [self.ids[self.bounds[k] : self.bounds[k + 1]].tolist() for k in (core, end)]
-            self._add(w, parts[0] + parts[1])
+        """Remembers the ids of new words. Latin-1 words are normal as they are, and the library's model takes their pieces."""
+        if len(self.pieces) > REMEMBERED // 4:
+            self.pieces.clear()
+        plain, other, ids, piece = [], [], [], self._piece
+        for w in words:
+            text = w.decode()
+            if not self.split:
+                other.append(w)
+            elif w.isalpha():  # ASCII letters
+                plain.append(w)
+                ids.append(piece(text.lower()))
+            elif w[:-1].isalpha() and w[-1:] in b",.!":
+                plain.append(w)
+                ids.append(piece(text[:-1].lower()) + piece(text[-1]))
+            elif max(text) < _BEYOND and text.isprintable() and "<|" not in text:
+                plain.append(w)
+                text = text.lower()
+                ids.append(piece(text) if text.isalpha() else list(chain.from_iterable(map(piece, self.split(text)))))
+            else:
+                other.append(w)
+        self._add(plain, ids)
+        self._add(other, [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in other], add_special_tokens=False)])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each with the end id after it, and how many each text has."""
@@ -171,9 +204,11 @@ class Encoder:
         if self.n > REMEMBERED:
             self._forget()
         index = list(map(self.known.get, words))
-        if None in index:
-            self._learn(list({w for w, k in zip(words, index, strict=True) if k is None}))
-            index = list(map(self.known.get, words))
+        new = [i for i, k in enumerate(index) if k is None]
+        if new:
+            self._learn(list({words[i] for i in new}))
+            for i in new:
+                index[i] = self.known[words[i]]
         at = np.array(index, dtype=np.int64)
         lo, size = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
         doc = np.repeat(np.arange(len(texts)), counts)
@@ -242,7 +277,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids (binary, little-endian unsigned 32-bit)."""
     files = spark.read.schema(_SEGMENT).parquet(path)
-    sizes = files.groupBy("file").agg(F.sum("n_ids").alias("n"))  # one row for each file
+    # One row for each file that was written, so as many as there were shuffle partitions: the size of what is broadcast.
+    sizes = files.groupBy("file").agg(F.sum("n_ids").alias("n"))
     base = sizes.select(F.col("file").alias("f"), F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +291,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(size), row["file"], np.int32)), pa.array(row["doc_ids"], pa.int64()), pa.array(row["seg_start"] + at[:-1]), pa.array(size), raw.cast(pa.binary())], ["file", "doc_id", "start", "n_tokens", "ids"])
 
     docs = files.select("file", "seg_start", "doc_ids", "doc_sizes", "data").mapInArrow(unpack, "file int, doc_id long, start long, n_tokens long, ids binary")
-    return docs.join(base, F.col("file") == F.col("f")).select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids")
+    return docs.join(F.broadcast(base), F.col("file") == F.col("f")).select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids")
 
 
 def token_digest(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
