@@ -16,8 +16,8 @@ shingles are left for a sufficient overlap.
 
 Intersections are counted on whole sets, so no link depends on the proposals. Texts are never shuffled as a whole:
 sketches and index entries are made where a text is read, and to count intersections only texts that are in some pair
-travel. They are picked by a table of ``SLOTS`` bytes, which is of a fixed size whatever the input; what it lets pass
-by chance is dropped by the join after it.
+travel. They are picked by a broadcast table of hash slots of doc_ids, ``SLOTS`` at most whatever the input; what it
+lets pass by chance is dropped by the join after it.
 
 Defined results: a null, empty or blank text has an empty set, no links and itself as its component; a null
 doc_id takes no part in links and keeps a null component; rows with one doc_id are each judged by their own
@@ -137,8 +137,8 @@ def _chosen(group: pa.Table, docs: np.ndarray, size: int) -> dict[int, np.ndarra
 
 _PAIR = ["a", "b"]
 _VERIFIED = "a long, b long, same long, na long, nb long"
-#: Bytes of the table by which texts are picked.
-SLOTS = 1 << 20
+#: Rows, at most, of the table by which texts are picked.
+SLOTS = 1 << 18
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
@@ -149,11 +149,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int)
     at = lambda side: classes.select(F.col("node").alias(side), F.col("doc_id").alias(f"{side}_doc"))
     placed = materialised(pairs.join(at("a"), "a").join(at("b"), "b"), "pairs")
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
-    used = placed.select(F.explode(F.array(slot("a_doc"), slot("b_doc"))).alias("slot")).distinct().toArrow()["slot"].to_numpy()
-    table = bytearray(SLOTS)
-    np.frombuffer(table, np.uint8)[used] = 1
-    picked = docs.filter(F.substring(F.lit(bytes(table)), slot("doc_id") + 1, 1) == F.lit(b"\x01"))
-    groups = max(1, -(-len(used) // 200))
+    used = materialised(placed.select(F.explode(F.array(slot("a_doc"), slot("b_doc"))).alias("slot")).distinct(), "slots")
+    picked = docs.join(F.broadcast(used), slot("doc_id") == F.col("slot"), "left_semi")
+    groups = max(1, -(-used.count() // 200))
     grouped = picked.select(group_of("doc_id", groups).alias("g"), "doc_id", "text")
 
     def send(group: pa.Table, wanted: pa.Table) -> pa.Table:
