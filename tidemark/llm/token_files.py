@@ -43,6 +43,10 @@ REMEMBERED = 1_200_000
 _LANES = 64
 #: Fixed value: how the tokenizer's file splits a text into pieces.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Maps bytes to a space for white space, ``p`` for other ASCII signs, ``q`` for leading bytes beyond Latin-1 letters, else ``a``.
+_SIGNS = bytes(
+    ord(" ") if b in (9, 10, 11, 12, 13, 32) else ord("q") if b > 0xC3 or b in (0xC0, 0xC1, 0xC2) else ord("a") if b > 127 or chr(b).isalnum() else ord("p") for b in range(256)
+)
 _BEYOND = "\u0100"
 # Byte-level models write a byte as a printable sign: itself where that is printable in Latin-1, else the next free one.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -198,7 +202,14 @@ class Encoder:
         counts = np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
             plain = b"\xcc" not in text and b"\xcd" not in text and b"<|" not in text
-            mine = (text.lower() if plain else text).split()
+            if plain:
+                text = text.lower()
+                # A stop beside no other sign is a piece of its own; set apart, words have fewer forms. Only where all
+                # characters are ASCII or Latin-1 letters can that be told from bytes.
+                signs = text.translate(_SIGNS)
+                if self.split and b"pp" not in signs and b"q" not in signs and b"\xc3\x97" not in text and b"\xc3\xb7" not in text:
+                    text = text.replace(b",", b" , ").replace(b".", b" . ")
+            mine = text.split()
             words += mine
             counts[i] = len(mine)
         if self.n > REMEMBERED:
