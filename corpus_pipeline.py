@@ -1,8 +1,67 @@
-"""Corpus pipeline (stages follow)."""
+"""A training corpus from raw documents, in five stages; each is written as Parquet and read again by the next one.
 
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before it kept. All but the last return the
+columns of documents.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm.decontaminate import without_contaminated
+from tidemark.llm.grouping import materialised
+from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.mixture import mixed
+from tidemark.llm.quality_rules import learn, scored
+from tidemark.llm.token_files import token_digest
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    rules = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored(docs, rules).filter("predicted = 1").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id; documents without words or id stay as they are."""
+    found = jaccard_components(docs)
+    gone = found.filter("n_shingles > 0 and component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, in whole copies."""
+    taken = mixed(docs).filter("copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token files of the mix, digested by document."""
+    return token_digest(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", decontaminate),
+    ("mixing sources to target weights", mix_sources),
+    ("token-ID / binary output", encode),
+]
+
+#: SQL can't express the classifier, nor the tokenizer.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialised(stage(spark, docs, sf_dir), name.split()[0])
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -159,9 +159,10 @@ def scored(docs: DataFrame, rules: Rules) -> DataFrame:
     used = {name for _, parts in rules.rules for name, _, _ in parts}
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     full = docs.drop("held_out", "score", "predicted")
-    with_stats = full.select("*", *[c.alias(f"_s_{k}") for k, c in statistics(text).items() if k in used])
+    # The row number keeps a filter on the score from being moved below the statistics, where each rule would make them anew.
+    with_stats = full.select("*", *[c.alias(f"_s_{k}") for k, c in statistics(text).items() if k in used], F.monotonically_increasing_id().alias("_s_row"))
     return (
-        with_stats.withColumn("score", rules.score())
+        with_stats.withColumn("score", F.when(F.col("_s_row") >= 0, rules.score()))
         .withColumn("held_out", held_out(F.col("doc_id")))
         .withColumn("predicted", F.when(F.col("score") >= KEEP_FROM, 1).otherwise(0))
         .select(*full.columns, "held_out", "score", "predicted")
