@@ -10,6 +10,9 @@ member keeps its exact distance from it. What is then known of the root holds fo
 (Jaccard distance is a metric): sets of one component are never compared; of two components only the roots are, and
 single members only where the roots' distance leaves it open.
 
+Pairs are never listed one by one: a set is sent, with the list of those it may be linked with, once to each group of
+documents that holds some of them, and only links come back (and distances of roots that leave their members open).
+
 Skipping in the index: lists of sets by shingle keep the sets' sizes and the shingle's place in them. A list
 is sorted by size, in blocks by place, and a block is skipped from the first place on at which too few
 shingles are left for a sufficient overlap.
@@ -20,8 +23,8 @@ travel. They are picked by a broadcast table of hash slots of doc_ids, ``SLOTS``
 lets pass by chance is dropped by the join after it.
 
 Defined results: a null, empty or blank text has an empty set, no links and itself as its component; a null
-doc_id takes no part in links and keeps a null component; rows with one doc_id are each judged by their own
-text and equal rows each get a row; extra columns are ignored; an empty table gives none. Sets hold 48-bit
+doc_id takes no part in links and keeps a null component; rows with one doc_id are one
+document, linked where one of their texts is, and each gets a row with the size of its own set; extra columns are ignored; an empty table gives none. Sets hold 48-bit
 hashes: two different shingles of one document or pair are taken for one with a chance of about n*n / 2**49.
 """
 
@@ -43,7 +46,7 @@ _MASK = (np.uint64(1) << BITS) - np.uint64(1)
 BANDS = 8
 #: Shingles known to be frequent; the others count as rare and come in the order of their hashes. Only the order of
 #: the index depends on it, no result.
-HOT = 200_000
+HOT = 400_000
 
 
 def shingle_sets(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +112,7 @@ def _sketches(size: int):
                 seen.append(sets[np.repeat(new, n)])
             if seen:
                 value, count = np.unique(np.concatenate(seen), return_counts=True)
-                often = count >= max(4, docs // 2000)
+                often = count >= max(2, docs // 4000)
                 if often.any():
                     yield _rows(True, pa.nulls(int(often.sum()), pa.int64()), count[often], value[often].view(np.int64), np.zeros(int(often.sum()), np.int64), np.zeros((int(often.sum()), BANDS), np.int64))
 
@@ -122,65 +125,158 @@ def _rows(hot: bool, doc, n, f1, f2, bands) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), hot)), doc, pa.array(n.astype(np.int64)), pa.array(f1), pa.array(f2)] + [pa.array(bands[:, i].copy()) for i in range(BANDS)], ["hot", "doc_id", "n", "f1", "f2"] + [f"b{i}" for i in range(BANDS)])
 
 
-def _chosen(group: pa.Table, docs: np.ndarray, size: int) -> dict[int, np.ndarray]:
-    """The sets, by node, of a group's rows with these doc_ids."""
-    found: dict[int, np.ndarray] = {}
-    ids = group["doc_id"].to_numpy()
-    rows = group.filter(pa.array(np.isin(ids, docs)))
+def _chosen(group: pa.Table, docs: np.ndarray, size: int) -> dict[int, list[np.ndarray]]:
+    """The sets of the rows with these doc_ids."""
+    found: dict[int, list[np.ndarray]] = {}
+    rows = group.filter(pa.array(np.isin(group["doc_id"].to_numpy(), docs)))
+    ids = rows["doc_id"].to_pylist()
     for a, b, w in text_chunks(rows["text"], lower=True):
         sets, first = shingle_sets(w, size)
-        node, _ = _fingerprints(sets, first)
         for i in range(b - a):
-            found[int(node[i])] = sets[first[i] : first[i + 1]]
+            if first[i + 1] > first[i]:
+                found.setdefault(ids[a + i], []).append(sets[first[i] : first[i + 1]])
     return found
 
 
-_PAIR = ["a", "b"]
-_VERIFIED = "a long, b long, same long, na long, nb long"
+def _bytes(values: np.ndarray) -> bytes:
+    return values.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _values(raw: bytes) -> np.ndarray:
+    six = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(six), 8), np.uint8)
+    wide[:, :6] = six
+    return wide.view(np.uint64).ravel()
+
+
+def _overlap(x: list[np.ndarray], y: list[np.ndarray]) -> tuple[int, int, int]:
+    """(intersection, sizes) of the two most similar sets of two documents."""
+    best = (0, 1, 1)
+    for s in x:
+        for t in y:
+            place = np.minimum(np.searchsorted(s, t), len(s) - 1)
+            got = (int((s[place] == t).sum()), len(s), len(t))
+            if got[0] * (best[1] + best[2] - best[0]) > best[0] * (got[1] + got[2] - got[0]):
+                best = got
+    return best
+
+
 #: Rows, at most, of the table by which texts are picked.
 SLOTS = 1 << 18
+#: Documents in a group while intersections are counted.
+GROUP = 200
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """The pairs (a, b) of classes with the size of their sets' intersection and of both sets, counted exactly.
-
-    The set of a travels once to each group of documents that holds some b; b's set is made there.
-    """
-    at = lambda side: classes.select(F.col("node").alias(side), F.col("doc_id").alias(f"{side}_doc"))
-    placed = materialised(pairs.join(at("a"), "a").join(at("b"), "b"), "pairs")
+def _picked(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, int]:
+    """(g, doc_id, text) of the documents with these ids, and few more, and the number of groups."""
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
-    used = materialised(placed.select(F.explode(F.array(slot("a_doc"), slot("b_doc"))).alias("slot")).distinct(), "slots")
+    ids = materialised(ids.distinct(), "ids")
+    groups = max(1, -(-ids.count() // GROUP))
+    used = ids.select(slot("id").alias("slot")).distinct()
     picked = docs.join(F.broadcast(used), slot("doc_id") == F.col("slot"), "left_semi")
-    groups = max(1, -(-used.count() // 200))
-    grouped = picked.select(group_of("doc_id", groups).alias("g"), "doc_id", "text")
+    return picked.select(group_of("doc_id", groups).alias("g"), "doc_id", "text"), groups
 
-    def send(group: pa.Table, wanted: pa.Table) -> pa.Table:
-        if not len(wanted):
-            return pa.table({"g": pa.array([], pa.int32()), "a": pa.array([], pa.int64()), "a_set": pa.array([], pa.binary()), "b": pa.array([], pa.list_(pa.int64())), "b_doc": pa.array([], pa.list_(pa.int64()))})
-        sets = _chosen(group, wanted["a_doc"].to_numpy(), size)
-        each = wanted.group_by(["to", "a"]).aggregate([("b", "list"), ("b_doc", "list")])
-        return pa.table({"g": each["to"], "a": each["a"], "a_set": pa.array([sets[a].view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for a in each["a"].to_pylist()], pa.binary()), "b": each["b_list"], "b_doc": each["b_doc_list"]})
 
-    routed = placed.withColumn("g", group_of("a_doc", groups)).withColumn("to", group_of("b_doc", groups))
-    sent = grouped.groupBy("g").cogroup(routed.groupBy("g")).applyInArrow(send, "g int, a long, a_set binary, b array<long>, b_doc array<long>")
+def _verified(tries: DataFrame, docs: DataFrame, size: int, percent: int, all_pairs: bool) -> DataFrame:
+    """a, b, apart, linked for (a, wide, bs: array of (b, wide)): links, and other pairs if they are asked for or open.
+
+    A pair is open if its distance, less the two widths, is within the limit: then members may be linked.
+    """
+    tries = materialised(tries, "tries")
+    ids = tries.select("a", F.transform("bs", lambda x: x["b"]).alias("bs"))
+
+    def distinct_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate([batch["a"].to_numpy(), batch["bs"].flatten().to_numpy()])))], ["id"])
+
+    grouped, groups = _picked(docs, ids.mapInArrow(distinct_ids, "id long"))
+    to = lambda x: F.struct(F.pmod(F.xxhash64(x["b"]), F.lit(groups)).cast("int").alias("g"), x["b"].alias("b"), x["wide"].alias("wide"))
+    routed = tries.select(group_of("a", groups).alias("g"), "a", "wide", F.transform("bs", to).alias("bs"))
+    fields = [("g", pa.int32()), ("a", pa.int64()), ("wide", pa.float64()), ("sets", pa.list_(pa.binary())), ("b", pa.list_(pa.int64())), ("b_wide", pa.list_(pa.float64()))]
+
+    def send(group: pa.Table, wanted: pa.Table) -> pa.Table:
+        sets = _chosen(group, wanted["a"].to_numpy(), size) if len(wanted) else {}
+        raw = {a: [_bytes(v) for v in vs] for a, vs in sets.items()}
+        out: dict[str, list] = {name: [] for name, _ in fields}
+        for a, wide, bs in zip(wanted["a"].to_pylist(), wanted["wide"].to_pylist(), wanted["bs"].to_pylist(), strict=True):
+            by: dict[int, list[dict]] = {}
+            for b in bs:
+                by.setdefault(b["g"], []).append(b)
+            for g, some in by.items():
+                for name, value in zip(out, (g, a, wide, raw[a], [b["b"] for b in some], [b["wide"] for b in some]), strict=True):
+                    out[name].append(value)
+        return pa.table({name: pa.array(out[name], kind) for name, kind in fields})
+
+    sent = grouped.groupBy("g").cogroup(routed.groupBy("g")).applyInArrow(send, "g int, a long, wide double, sets array<binary>, b array<long>, b_wide array<double>")
 
     def count(group: pa.Table, wanted: pa.Table) -> pa.Table:
-        out: list[tuple[int, ...]] = []
-        if len(wanted):
-            sets = _chosen(group, np.unique(wanted["b_doc"].combine_chunks().flatten().to_numpy()), size)
-            for a, raw, others in zip(wanted["a"].to_pylist(), wanted["a_set"], wanted["b"].to_pylist(), strict=True):
-                six = np.frombuffer(raw.as_buffer(), np.uint8).reshape(-1, 6)
-                wide = np.zeros((len(six), 8), np.uint8)
-                wide[:, :6] = six
-                mine = wide.view(np.uint64).ravel()
-                for b in others:
-                    place = np.searchsorted(mine, sets[b])
-                    same = int((mine[np.minimum(place, len(mine) - 1)] == sets[b]).sum())
-                    out.append((a, b, same, len(mine), len(sets[b])))
-        columns = np.array(out, dtype=np.int64).reshape(-1, 5)
-        return pa.table({k: pa.array(columns[:, i].copy()) for i, k in enumerate(("a", "b", "same", "na", "nb"))})
-
-    return materialised(grouped.groupBy("g").cogroup(sent.groupBy("g")).applyInArrow(count, _VERIFIED), "verified")
+        out: list[tuple] = []
+        sets = _chosen(group, np.unique(wanted["b"].combine_chunks().flatten().to_numpy()), size) if len(wanted) else {}
+        for row in wanted.to_pylist():
+            mine = [_values(raw) for raw in row["sets"]]
+            for b, wide in zip(row["b"], row["b_wide"], strict=True):
+                same, na, nb = _overlap(mine, sets[b])
+                linked, apart, reach = 100 * same >= percent * (na + nb - same), 1 - same / (na + nb - same), row["wide"] + wide
+                if linked or all_pairs or (reach > 0 and apart - reach <= 1 - percent / 100 + 1e-9):
+                    out.append((row["a"], b, apart, linked))
+        a, b, apart, linked = zip(*out, strict=True) if out else ((), (), (), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "apart": pa.array(apart, pa.float64()), "linked": pa.array(linked, pa.bool_())})
+
+    return materialised(grouped.groupBy("g").cogroup(sent.groupBy("g")).applyInArrow(count, "a long, b long, apart double, linked boolean"), "verified")
+
+
+def _members_linked(open_: DataFrame, members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of the open pairs of roots, one at least for each member that has any.
+
+    Each member of the smaller component is sent to the groups that hold members of the larger one, and compared there with
+    those that the distances from the roots leave open, until a link is found.
+    """
+    slack = 1 - percent / 100 + 1e-9
+    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    size_of = lambda k: sizes.select(F.col("root").alias(k), F.col("n").alias(f"n_{k}"))
+    sided = open_.join(size_of("a"), "a").join(size_of("b"), "b")
+    small = F.col("n_a") <= F.col("n_b")
+    sided = sided.select(F.when(small, F.col("a")).otherwise(F.col("b")).alias("from"), F.when(small, F.col("b")).otherwise(F.col("a")).alias("to"), "apart")
+    sided = materialised(sided, "sided")
+    concerned = sided.select(F.explode(F.array("from", "to")).alias("root")).distinct()
+    members = materialised(members.join(concerned, "root"), "members")
+    grouped, groups = _picked(docs, members.select(F.col("node").alias("id")))
+    placed = members.withColumn("g", group_of("node", groups))
+    holders = placed.groupBy("root").agg(F.collect_set("g").alias("gs")).withColumnRenamed("root", "to")
+    routed = sided.join(holders, "to").join(placed.withColumnRenamed("root", "from"), "from").select("g", F.col("node").alias("a"), "to", (F.col("apart") - F.col("far")).alias("apart"), "gs")
+
+    def send(group: pa.Table, wanted: pa.Table) -> pa.Table:
+        sets = _chosen(group, wanted["a"].to_numpy(), size) if len(wanted) else {}
+        raw = {a: [_bytes(v) for v in vs] for a, vs in sets.items()}
+        rows = [(g, r["a"], r["to"], r["apart"], raw[r["a"]]) for r in wanted.to_pylist() for g in r["gs"]]
+        g, a, to, apart, values = zip(*rows, strict=True) if rows else ((),) * 5
+        return pa.table({"g": pa.array(g, pa.int32()), "node": pa.array(a, pa.int64()), "root": pa.array(to, pa.int64()), "far": pa.array(apart, pa.float64()), "sets": pa.array(values, pa.list_(pa.binary()))})
+
+    sent = grouped.groupBy("g").cogroup(routed.groupBy("g")).applyInArrow(send, "g int, node long, root long, far double, sets array<binary>")
+    local = placed.select("g", "node", "root", "far", F.lit(None).cast("array<binary>").alias("sets"))
+
+    def find(group: pa.Table, wanted: pa.Table) -> pa.Table:
+        rows = wanted.to_pylist()
+        own: dict[int, list[tuple[int, float]]] = {}
+        for r in rows:
+            if r["sets"] is None:
+                own.setdefault(r["root"], []).append((r["node"], r["far"]))
+        coming = [r for r in rows if r["sets"] is not None]
+        needed = [node for r in {r["root"] for r in coming} for node, _ in own.get(r, ())]
+        sets = _chosen(group, np.array(needed, np.int64), size) if needed else {}
+        out = []
+        for r in coming:
+            mine = [_values(raw) for raw in r["sets"]]
+            for node, far in own.get(r["root"], ()):
+                if r["far"] - far <= slack:
+                    same, na, nb = _overlap(mine, sets[node])
+                    if 100 * same >= percent * (na + nb - same):
+                        out.append((r["node"], node))
+                        break
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return materialised(grouped.groupBy("g").cogroup(sent.unionByName(local).groupBy("g")).applyInArrow(find, "a long, b long"), "found")
 
 
 def _entries(size: int, percent: int, hot: np.ndarray, times: np.ndarray):
@@ -211,7 +307,7 @@ def _entries(size: int, percent: int, hot: np.ndarray, times: np.ndarray):
                 reach = n - (percent * n + 99) // 100 + 1
                 use = new[doc] & (place < reach[doc])
                 ids = np.array(nodes, dtype=np.int64)[doc[use]]
-                yield pa.RecordBatch.from_arrays([pa.array(sets[use].view(np.int64)), pa.array(ids), pa.array((n[doc[use]] << 32) + place[use])], ["h", "node", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(sets[use].view(np.int64)), pa.array(ids), pa.array((n[doc[use]] << 32) + place[use])], ["h", "f1", "place"])
 
     return run
 
@@ -243,113 +339,129 @@ def _list_pairs(root: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
 
+def _grouped_pairs(pairs: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    a, start = np.unique(pairs[:, 0], return_index=True)
+    return a, np.split(pairs[:, 1], start[1:])
+
+
+#: Pairs of roots that a task holds before equal ones are merged.
+HELD = 500_000
+
+
 def _scan_lists(percent: int):
-    """Candidate pairs of roots from rows sorted by shingle; a list may go on in the next batch."""
+    """(a, bs): candidate pairs of roots, from rows sorted by shingle; a list may go on in the next batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        found: list[np.ndarray] = []
 
-        def pairs(rows: np.ndarray) -> pa.RecordBatch:
+        many = 0
+
+        def scan(rows: np.ndarray) -> None:
+            nonlocal many
             bounds = np.concatenate([[0], np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1, [len(rows)]])
-            out = []
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                 if b - a > 1 and (rows[a:b, 1] != rows[a, 1]).any():
-                    out.append(_list_pairs(rows[a:b, 1], rows[a:b, 2] >> 32, rows[a:b, 2] & 0xFFFFFFFF, percent))
-            got = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], _PAIR)
-
+                    found.append(_list_pairs(rows[a:b, 1], rows[a:b, 2] >> 32, rows[a:b, 2] & 0xFFFFFFFF, percent))
+                    many += len(found[-1])
+                    if many > HELD:
+                        merged = np.unique(np.concatenate(found), axis=0)
+                        found[:] = [merged]
+                        if len(merged) > HELD // 2:
+                            ready.append(merged)
+                            found.clear()
+                        many = sum(map(len, found))
+
+        def give(pairs: np.ndarray) -> pa.RecordBatch:
+            a, bs = _grouped_pairs(pairs)
+            kind = pa.list_(pa.struct([("b", pa.int64()), ("wide", pa.float64())]))
+            widths = [width.get(x, 0.0) for x in a.tolist()]
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(widths), pa.array([[(y, width.get(y, 0.0)) for y in x.tolist()] for x in bs], kind)], ["a", "wide", "bs"])
+
+        width: dict[int, float] = {}  # of roots with members
+        ready: list[np.ndarray] = []
         for batch in batches:
             rows = np.stack([batch[k].to_numpy(zero_copy_only=False) for k in ("h", "root", "place")], axis=1)
             if not len(rows):
                 continue
+            wide = batch["wide"].to_numpy()
+            for i in np.flatnonzero(wide).tolist():
+                width[int(rows[i, 1])] = float(wide[i])
             cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
             if cut:
-                yield pairs(np.concatenate([*held, rows[:cut]]))
+                scan(np.concatenate([*held, rows[:cut]]))
                 held = []
             held.append(rows[cut:])
+            while ready:
+                yield give(ready.pop())
         if held:
-            yield pairs(np.concatenate(held))
+            scan(np.concatenate(held))
+        if sum(map(len, found)):
+            ready.append(np.unique(np.concatenate(found), axis=0))
+        while ready:
+            yield give(ready.pop())
 
     return run
 
 
 def links(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """(members, edges): each document with its size and class (f1), and verified links (u, v) between classes.
+    """(members, edges): each document with its size and node (the smallest doc_id with an equal set), and edges (u, v) between nodes.
 
-    The edges tie all classes that links tie. Links inside a component that is known already aren't counted one by one.
+    The edges tie all nodes that links tie. Links inside a component that is known already aren't counted one by one.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = materialised(slim.mapInArrow(_sketches(size), _SKETCH), "sketches")
-    members = sketches.filter("not hot").select("doc_id", "n", "f1", "f2")
     bands = [f"b{i}" for i in range(BANDS)]
     usable = sketches.filter("not hot and n > 0 and doc_id is not null")
-    classes = usable.groupBy(F.col("f1").alias("node")).agg(F.min(F.struct("doc_id", "n", *bands)).alias("r")).select("node", "r.*")
+    classes = usable.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", *bands)).alias("r")).select("f1", "f2", "r.*").withColumnRenamed("doc_id", "node")
     classes = materialised(classes, "classes")
-    top = sketches.filter("hot").groupBy("f1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "f1").limit(HOT).toArrow()
-    top = top.sort_by("f1")
+    members = usable.select("doc_id", "n", "f1", "f2").join(classes.select("f1", "f2", "node"), ["f1", "f2"]).select("doc_id", "n", "node")
+    others = sketches.filter("not hot and (n = 0 or doc_id is null)").select("doc_id", "n", F.lit(None).cast("long").alias("node"))
+    top = sketches.filter("hot").groupBy("f1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "f1").limit(HOT).toArrow().sort_by("f1")
     hot, times = top["f1"].to_numpy().view(np.uint64), top["n"].to_numpy()
 
-    linked = F.expr(f"100 * same >= {percent} * (na + nb - same)")
-    apart = F.expr("1 - same / (na + nb - same)")
-    # Centres: in each band the class with the smallest document.
-    by_band = classes.select("node", "doc_id", "n", F.posexplode(F.array(*bands)).alias("band", "key")).filter("key <> 0")
-    centre = by_band.groupBy("band", "key").agg(F.min(F.struct("doc_id", "node", "n")).alias("c"), F.count(F.lit(1)).alias("many")).filter("many > 1")
-    proposed = (
-        by_band.join(centre, ["band", "key"])
-        .filter(f"node <> c.node and 100 * least(n, c.n) >= {percent} * greatest(n, c.n)")
-        .select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
-    )
-    first = _verified(proposed, slim, classes, size)
-    roots = materialised(components(first.filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
+    # Several texts of one doc_id tie their classes.
+    same_id = members.groupBy("doc_id").agg(F.min("node").alias("u"), F.collect_set("node").alias("vs")).filter("size(vs) > 1").select("u", F.explode("vs").alias("v"))
+    # Centres: in each band the node with the smallest id.
+    by_band = classes.select("node", "n", F.posexplode(F.array(*bands)).alias("band", "key")).filter("key <> 0")
+    centre = by_band.groupBy("band", "key").agg(F.min(F.struct("node", "n")).alias("c"), F.count(F.lit(1)).alias("many")).filter("many > 1")
+    proposed = by_band.join(centre, ["band", "key"]).filter(f"node <> c.node and 100 * least(n, c.n) >= {percent} * greatest(n, c.n)").select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
+    single = lambda pairs: pairs.select("a", F.lit(0.0).alias("wide"), F.array(F.struct("b", F.lit(0.0).alias("wide"))).alias("bs"))
+    first = _verified(single(proposed), slim, size, percent, True)
+    roots = materialised(components(first.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
     # Every member's distance from its root, counted unless it was already.
     rooted = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
-    rest = _verified(rooted.join(first, ["a", "b"], "left_anti"), slim, classes, size)
-    far = rooted.join(first.unionByName(rest), ["a", "b"]).select(F.col("a").alias("root"), F.col("b").alias("node"), apart.alias("far"))
+    rest = _verified(single(rooted.join(first, ["a", "b"], "left_anti")), slim, size, percent, True)
+    far = rooted.join(first.unionByName(rest), ["a", "b"]).select(F.col("a").alias("root"), F.col("b").alias("node"), F.col("apart").alias("far"))
+    far = materialised(far.unionByName(roots.select("root", F.col("root").alias("node"), F.lit(0.0).alias("far")).distinct()), "far")
+    wide = far.groupBy("root").agg(F.max("far").alias("wide"))
 
-    entries = slim.filter("doc_id is not null").mapInArrow(_entries(size, percent, hot, times), "h long, node long, place long").repartition("h")
+    entries = slim.filter("doc_id is not null").mapInArrow(_entries(size, percent, hot, times), "h long, f1 long, place long").repartition("h")
     # Lists of one set, or of the sets of one component, are settled. The rest are few.
     differ = lambda c: F.min(c).over(Window.partitionBy("h")) != F.max(c).over(Window.partitionBy("h"))
-    lists = entries.withColumn("differ", differ("node")).filter("differ").select("h", "node", "place")
-    lists = lists.join(roots, "node", "left").select("h", F.coalesce("root", "node").alias("root"), "place")
-    lists = lists.withColumn("differ", differ("root")).filter("differ").select("h", "root", "place").sortWithinPartitions("h")
-    pivots = lists.mapInArrow(_scan_lists(percent), "a long, b long").distinct()
-    second = _verified(pivots, slim, classes, size)
-    edges = [first.filter(linked), rest.filter(linked), second.filter(linked)]
+    lists = entries.withColumn("differ", differ("f1")).filter("differ").select("h", "f1", "place")
+    rooted_as = far.join(wide, "root").select("node", "root", "wide")
+    named = classes.select("f1", "node").join(rooted_as, "node", "left").select("f1", F.coalesce("root", "node").alias("root"), F.coalesce("wide", F.lit(0.0)).alias("wide"))
+    lists = lists.join(named, "f1").select("h", "root", "place", "wide")
+    lists = lists.withColumn("differ", differ("root")).filter("differ").select("h", "root", "place", "wide").sortWithinPartitions("h")
+    found = lists.mapInArrow(_scan_lists(percent), "a long, wide double, bs array<struct<b:long,wide:double>>")
+    tries = found.groupBy("a", "wide").agg(F.array_distinct(F.flatten(F.collect_list("bs"))).alias("bs"))
+    second = _verified(tries, slim, size, percent, False)
+    edges = same_id.unionByName(first.unionByName(rest).unionByName(second).filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
     # Where the distance of two roots leaves it open, their members are compared, as far as the distances allow.
-    wide = far.groupBy("root").agg(F.max("far").alias("wide"))
-    side = lambda k: wide.select(F.col("root").alias(k), F.col("wide").alias(f"{k}_wide"))
-    slack = 1 - percent / 100 + 1e-9
-    met = second.filter(~linked).withColumn("apart", apart).join(side("a"), "a", "left").join(side("b"), "b", "left")
-    reach = F.coalesce("a_wide", F.lit(0.0)) + F.coalesce("b_wide", F.lit(0.0))
-    open_ = materialised(met.filter((reach > 0) & (F.col("apart") - reach <= slack)).select("a", "b", "apart"), "open")
+    open_ = second.filter("not linked").select("a", "b", "apart")
     if open_.head(1):
-        full = far.unionByName(far.select("root", F.col("root").alias("node"), F.lit(0.0).alias("far")).distinct())
         alone = open_.select(F.explode(F.array("a", "b")).alias("root")).distinct().join(far, "root", "left_anti")
-        full = full.unionByName(alone.select("root", F.col("root").alias("node"), F.lit(0.0).alias("far")))
-        member = lambda k: full.select(F.col("root").alias(k), F.col("node").alias(f"{k}_node"), F.col("far").alias(f"{k}_far"))
-        singles = (
-            open_.join(member("a"), "a").join(member("b"), "b")
-            .filter(f"apart - a_far - b_far <= {slack} and not (a_node = a and b_node = b)")
-            .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-        )
-        edges.append(_verified(singles, slim, classes, size).filter(linked))
-    tied = edges[0]
-    for more in edges[1:]:
-        tied = tied.unionByName(more)
-    return members, tied.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        full = far.unionByName(alone.select("root", F.col("root").alias("node"), F.lit(0.0).alias("far")))
+        edges = edges.unionByName(_members_linked(open_, full, slim, size, percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return members.unionByName(others), edges
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id that links of at least ``percent`` / 100 reach."""
     members, edges = links(docs, size, percent)
-    roots = components(edges).withColumnRenamed("node", "f1")
-    placed = members.filter("n > 0 and doc_id is not null").select("doc_id", "n", "f1")
-    least = placed.groupBy("f1").agg(F.min("doc_id").alias("least")).join(roots, "f1", "left").select("f1", "least", F.coalesce("root", "f1").alias("root"))
-    named = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = least.join(named, "root").select("f1", "component_id")
-    full = placed.join(by_class, "f1").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = members.filter("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty)
+    roots = components(edges)
+    return members.join(roots, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node", "doc_id").alias("component_id"))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
