@@ -11,7 +11,7 @@ import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -240,15 +240,17 @@ def place_query(place: Column | str, country: Column | str) -> Column:
     return F.concat_ws(", ", F.nullif(collapse(place), F.lit("")), F.nullif(collapse(country), F.lit("")))
 
 
-def query_variants(place: str, country: str) -> Column:
-    """(label, query) in order: as it is, without parentheses, without the unit word, and each part of a list."""
+def with_query_variants(df: DataFrame, place: str, country: str) -> DataFrame:
+    """Adds ``variants``, (label, query) in order: as it is, without parentheses, without the unit word, each part of a list."""
+    df = df.withColumn("_parts", F.array_union(composite_parts(place), list_parts(place)))
     c = collapse(country)
     bare = without_parentheses(place)
     unit = collapse(F.regexp_replace(bare, r"(?i)\b(province|district|region|state|county|department|municipality|prefecture|city|island)\b", " "))
-    base = F.array(F.struct(F.lit("original").alias("label"), place_query(place, c).alias("query")), F.struct(F.lit("without_context").alias("label"), place_query(bare, c).alias("query")), F.struct(F.lit("without_unit").alias("label"), place_query(unit, c).alias("query")))
-    parts = F.transform(F.array_union(composite_parts(place), list_parts(place)), lambda p: F.struct(F.lit("component").alias("label"), place_query(p, c).alias("query")))
-    full = F.concat(base, parts)
-    return F.filter(full, lambda x, i: F.array_position(F.transform(full, lambda y: F.lower(y["query"])), F.lower(x["query"])) == i + 1)
+    one = lambda label, p: F.struct(F.lit(label).alias("label"), place_query(p, c).alias("query"))
+    full = F.concat(F.array(one("original", place), one("without_context", bare), one("without_unit", unit)), F.transform("_parts", lambda p: one("component", p)))
+    df = df.withColumn("variants", full).drop("_parts")
+    first = lambda x, i: F.array_position(F.transform("variants", lambda y: F.lower(y["query"])), F.lower(x["query"])) == i + 1
+    return df.withColumn("variants", F.filter("variants", first))
 
 
 # --- markup -----------------------------------------------------------------------------------------------------

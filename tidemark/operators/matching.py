@@ -56,20 +56,17 @@ def fuzzy_join(left: DataFrame, right: DataFrame, block: Sequence[str], left_key
     2 * min / (min + max)), so most pairs never reach Python. ``threshold`` of 1 or more turns it off.
     """
     names = right.select(*block, F.col(right_key).alias("_key"), F.col(right_id).alias("_id")).filter(F.length("_key") >= least).distinct()
+    wanted = left.select(*block, left_key).distinct()
     a, b = F.length(left_key), F.length("_key")
     near = 2.0 * F.least(a, b) / (a + b) >= threshold
-    tried = left.filter((a >= least) & F.lit(threshold < 1)).join(names, list(block)).filter(near)
-    scored = tried.withColumn("_score", similarity(F.col(left_key), F.col("_key"))).groupBy(*left.columns, "_id").agg(F.max("_score").alias("_score"))
+    tried = wanted.filter((a >= least) & F.lit(threshold < 1)).join(names, list(block)).filter(near)
+    by_unit = tried.withColumn("_score", similarity(F.col(left_key), F.col("_key"))).groupBy(*block, left_key, "_id").agg(F.max("_score").alias("_score"))
     pair = F.array_sort(F.collect_list(F.struct((-F.col("_score")).alias("s"), F.col("_id").alias("id"))))
-    best = scored.filter(F.col("_score") >= threshold - margin).groupBy(*left.columns).agg(F.slice(pair, 1, 2).alias("_p"))
+    best = by_unit.filter(F.col("_score") >= threshold - margin).groupBy(*block, left_key).agg(F.slice(pair, 1, 2).alias("_p"))
     first, second = F.get("_p", F.lit(0)), F.get("_p", F.lit(1))
     ok = (-first["s"] >= threshold) & (second.isNull() | (second["s"] - first["s"] >= margin))
-    found = best.select(*left.columns, F.when(ok, first["id"]).alias("match_id"), F.when(ok, -first["s"]).alias("match_score"))
-    on = [left[c].eqNullSafe(found[c]) for c in left.columns]
-    condition = on[0]
-    for o in on[1:]:
-        condition = condition & o
-    return left.join(found, condition, "left").select(*[left[c] for c in left.columns], "match_id", "match_score")
+    found = best.select(*block, left_key, F.when(ok, first["id"]).alias("match_id"), F.when(ok, -first["s"]).alias("match_score"))
+    return left.join(found, [*block, left_key], "left")
 
 
 def edit_similarity(a: Column | str, b: Column | str) -> Column:
