@@ -28,6 +28,7 @@ _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 # Kinds of elements.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
+_UNSEEN = frozenset("script style noscript template".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
@@ -116,6 +117,10 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], int, bool, str]]:
         if tag == "br":
             text.append(" ")
             continue
+        if tag in _UNSEEN:  # no part of the page's flow, so it doesn't end the block around it
+            found = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
+            at = found.end() if found else end
+            continue
         dropped = bool(stack and stack[-1][2])
         block = tag not in _INLINE
         if block and not dropped:
