@@ -111,7 +111,13 @@ def _sketches(size: int):
                 docs += int(new.sum())
                 seen.append(sets[np.repeat(new, n)])
             if seen:
-                value, count = np.unique(np.concatenate(seen), return_counts=True)
+                every = np.concatenate(seen)
+                seen.clear()
+                every.sort()
+                # Only those that are the same as the one before them; most occur once.
+                value, count = np.unique(every[1:][every[1:] == every[:-1]], return_counts=True)
+                del every
+                count += 1
                 often = count >= max(2, docs // 4000)
                 if often.any():
                     yield _rows(True, pa.nulls(int(often.sum()), pa.int64()), count[often], value[often].view(np.int64), np.zeros(int(often.sum()), np.int64), np.zeros((int(often.sum()), BANDS), np.int64))

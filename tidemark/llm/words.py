@@ -7,6 +7,8 @@ documents at a time; no Python loop runs over words.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +19,8 @@ import pyarrow.compute as pc
 #: Bytes of text that are turned into word arrays at a time; one longer document is taken whole.
 CHUNK_BYTES = 2_000_000
 
+_NAME = ctypes.util.find_library("c")
+_LIBC = ctypes.CDLL(_NAME) if _NAME and hasattr(ctypes.CDLL(_NAME), "malloc_trim") else None
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -84,6 +88,13 @@ class Words:
         return b" ".join(words if keep is None else [w for w, k in zip(words, keep.tolist()) if k])
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, which workers that wait for their next task would otherwise keep."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def text_chunks(column: pa.ChunkedArray | pa.Array, lower: bool = False, limit: int = CHUNK_BYTES, rows: int = 50_000) -> Iterator[tuple[int, int, Words]]:
     """(first row, last row + 1, words) for runs of rows of a text column; null texts have no words."""
     if isinstance(column, pa.ChunkedArray):
@@ -100,6 +111,7 @@ def text_chunks(column: pa.ChunkedArray | pa.Array, lower: bool = False, limit:
         part = buf[offsets[a] : offsets[b]]
         yield a, b, find_words(_LOWER[part] if lower else part, offsets[a : b + 1] - offsets[a])
         a = b
+    give_back()
 
 
 def find_words(buf: np.ndarray, offsets: np.ndarray) -> Words:
