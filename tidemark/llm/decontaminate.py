@@ -3,7 +3,7 @@
 Only built-in functions are used. Words are looked up by window: an array of 64-bit window hashes is made per
 document, exploded and joined with the hash table; a hit is then verified word by word against the window itself.
 Only hits (and one row for each document) are shuffled. The table of test windows is broadcast while its size,
-which is checked, stays under ``BROADCAST_BYTES``; beyond that Spark joins by shuffling both sides.
+which is checked, stays under ``BROADCAST_BYTES``; beyond that window hashes are shuffled, without the words.
 
 Defined results: a null text has no words and hits nothing; items without words have no window; an item with a null
 item_id marks words but is not listed; repeated items count once; each row of the documents gets one row, also
@@ -53,6 +53,50 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     return _scan(docs.select("doc_id", F.col("text").cast("string").alias("text")), benchmark, size)
 
 
+def _place_of(sizes: list[int], many: Column) -> Column:
+    """The first word of a window, from its place in the array of all windows, which stand by length after one blank."""
+    at, before = F.lit(None).cast("int"), F.lit(1)
+    for n in sizes:
+        at = F.when(F.col("length") == n, F.col("place") - before).otherwise(at)
+        before = before + F.greatest(many - (n - 1), F.lit(0))
+    return at
+
+
+def _met_by_broadcast(hashed: DataFrame, tests: DataFrame, sizes: list[int]) -> DataFrame:
+    """row, doc_id, n_words, at, length, items, hit; hits are verified word by word."""
+    many = F.size("words")
+    each = [F.when(many >= n, _window_hashes(n)).otherwise(F.array().cast("array<long>")) for n in sizes]
+    # The array is a column of its own, so that exploding it and the join stay in generated code; the outer form, for
+    # which Spark infers no filter on the array's size that would make the array a second time.
+    hashed = hashed.withColumn("hashes", F.concat(F.array(F.lit(_NO_WINDOW).cast("long")), *each))
+    placed = hashed.select("doc_id", "row", "words", F.posexplode_outer("hashes").alias("place", "at_hash"))
+    # The join alone decides which windows go on; its rows are few, and only they are made with their document's words.
+    met = placed.join(F.broadcast(tests), F.col("at_hash") == F.col("hash")).withColumn("at", _place_of(sizes, many))
+    same = F.forall(F.sequence(F.lit(0), F.col("length") - 1), lambda k: F.coalesce(F.get("words", F.col("at") + k) == F.get("window", k), F.lit(False)))
+    return met.withColumn("n_words", many).withColumn("hit", F.when(F.col("window").isNotNull() & (F.col("at") >= 0), same).otherwise(F.lit(False)))
+
+
+def _met_by_shuffle(hashed: DataFrame, tests: DataFrame, sizes: list[int]) -> DataFrame:
+    """The same for any number of tests. No words travel: hits are verified by a second hash."""
+    many = F.size("words")
+    second = lambda wh, at, n: F.hash(*[F.get(wh, at + k) for k in range(n)])
+    pair = lambda n: F.transform(F.sequence(F.lit(0), many - n), lambda i: F.struct(_hash(F.col("wh"), i, n).alias("h"), second("wh", i, n).alias("h2")))
+    kind = "array<struct<h:long,h2:int>>"
+    each = [F.when(many >= n, pair(n)).otherwise(F.array().cast(kind)) for n in sizes]
+    blank = F.array(F.struct(F.lit(_NO_WINDOW).cast("long").alias("h"), F.lit(0).alias("h2")))
+    made = hashed.withColumn("hashes", F.concat(blank, *each)).withColumn("n_words", many)
+    placed = made.select("doc_id", "row", "n_words", F.posexplode_outer("hashes").alias("place", "x")).select("doc_id", "row", "n_words", "place", "x.h", "x.h2")
+    # A document's own row needs no partner; apart from it no row of a document is there without a hit.
+    own = placed.filter("place = 0").select("doc_id", "row", "n_words", F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("length"), F.lit(None).cast("array<string>").alias("items"), F.lit(False).alias("hit"))
+    test_hash = F.lit(None).cast("int")
+    for n in sizes:
+        test_hash = F.when(F.col("length") == n, second(F.transform("window", lambda w: F.xxhash64(w)), F.lit(0), n)).otherwise(test_hash)
+    keyed = tests.filter("window is not null").withColumn("h2", test_hash).withColumnRenamed("hash", "h").drop("window")
+    met = placed.filter("place > 0").join(keyed, ["h", "h2"]).withColumn("at", _place_of(sizes, F.col("n_words")))
+    hits = met.filter("at >= 0 and at + length <= n_words").select("doc_id", "row", "n_words", "at", "length", "items", F.lit(True).alias("hit"))
+    return own.unionByName(hits)
+
+
 def _scan(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
     tests = benchmark_windows(benchmark, size)
     sizes, n_bytes = tests.agg(F.collect_set("length"), F.sum(F.aggregate("window", F.lit(40), lambda a, w: a + F.octet_length(w) + 16) + 24 * F.size("items"))).first()
@@ -60,25 +104,9 @@ def _scan(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
     # A row without a window stands for the document itself, hit or not: one entry of each document has its hash.
     none = tests.sparkSession.range(1).select(F.lit(_NO_WINDOW).alias("hash"), F.lit(0).alias("length"), F.lit(None).cast("array<string>").alias("window"), F.lit(None).cast("array<string>").alias("items"))
     tests = tests.unionByName(none)
-    if (n_bytes or 0) <= BROADCAST_BYTES:
-        tests = F.broadcast(tests)
     words = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), words_of(F.col("text")).alias("words"))
     hashed = words.withColumn("wh", F.transform("words", lambda w: F.xxhash64(w)))
-    many = F.size("words")
-    each = [F.when(many >= n, _window_hashes(n)).otherwise(F.array().cast("array<long>")) for n in sizes]
-    # The array is a column of its own, so that exploding it and the join stay in generated code; the outer form, for
-    # which Spark infers no filter on the array's size that would make the array a second time.
-    hashed = hashed.withColumn("hashes", F.concat(F.array(F.lit(_NO_WINDOW).cast("long")), *each))
-    placed = hashed.select("doc_id", "row", "words", F.posexplode_outer("hashes").alias("place", "at_hash"))
-    # The join alone decides which windows go on; its rows are few, and only they are made with their document's words.
-    met = placed.join(tests, F.col("at_hash") == F.col("hash"))
-    at, before = F.lit(None).cast("int"), F.lit(1)
-    for n in sizes:
-        at = F.when(F.col("length") == n, F.col("place") - before).otherwise(at)
-        before = before + F.greatest(many - (n - 1), F.lit(0))
-    met = met.withColumn("at", at)
-    same = F.forall(F.sequence(F.lit(0), F.col("length") - 1), lambda k: F.coalesce(F.get("words", F.col("at") + k) == F.get("window", k), F.lit(False)))
-    met = met.withColumn("n_words", many).withColumn("hit", F.when(F.col("window").isNotNull() & (F.col("at") >= 0), same).otherwise(F.lit(False)))
+    met = _met_by_broadcast(hashed, tests, sizes) if (n_bytes or 0) <= BROADCAST_BYTES else _met_by_shuffle(hashed, tests, sizes)
     span = F.when(F.col("hit"), F.struct("at", "length"))
     found = met.groupBy("row", "doc_id").agg(
         F.max("n_words").cast("long").alias("n_words"),
