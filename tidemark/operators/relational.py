@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import first_seen, joined_in_order, keep_first
+from tidemark.sources.shared import written
 
 def left_join(master: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """A left join in which the master's columns win; the source has one row for each key."""
@@ -40,7 +41,7 @@ def novel_columns(base: DataFrame, known: Sequence[str], prefix: str = "base_")
 
 def in_order(df: DataFrame, preferred: Sequence[str]) -> DataFrame:
     first = [c for c in preferred if c in df.columns]
-    return df.select(*first, *[c for c in df.columns if c not in first])
+    return df.select(*[F.col(f"`{c}`") for c in [*first, *[c for c in df.columns if c not in first]]])
 
 
 def renamed(df: DataFrame, names: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
@@ -144,6 +145,6 @@ def greedy_cover(pairs: DataFrame, item: str, member: str) -> DataFrame:
             break
         chosen.append((len(chosen) + 1, best[0][0], best[0][1]))
         covered = left.filter(F.col(item) == best[0][0]).select(member)
-        left = left.join(covered, member, "left_anti").persist()
+        left = written(left.join(covered, member, "left_anti"), "open")
     kind = left.schema[item].dataType.simpleString()
     return left.sparkSession.createDataFrame(chosen, f"step int, {item} {kind}, newly_covered long")
