@@ -287,3 +287,51 @@ def test_batch_sink_replaces_itself(spark, tmp_path):
     write(df, 0)
     write(df, 0)
     assert [tuple(r)[:2] for r in spark.read.parquet(str(tmp_path / "s")).collect()] == [("a", 2)]
+
+
+def test_connectors(spark):
+    from tidemark.sources import connectors
+
+    tries = iter([(503, ""), (429, ""), (200, "ok")])
+    assert connectors.with_retries(lambda: next(tries), sleep=lambda s: None) == (200, "ok")
+    df = spark.createDataFrame([("a",), ("a",), ("b",)], "r string")
+    got = {r["request"]: (r["status"], r["body"]) for r in connectors.fetched(df, "r", lambda: connectors.Landed({"a": "x"})).collect()}
+    assert got == {"a": (200, "x"), "b": (404, "")}
+    assert sorted(r["answer"] for r in connectors.answered(df, "r", lambda: connectors.Landed({"b": "y"})).collect()) == ["", "", "y"]
+    feed = "<rss><item><title><![CDATA[Flood hits town - Daily]]></title><link>http://x</link><pubDate>d</pubDate></item><item><title>short</title></item></rss>"
+    assert [tuple(r) for r in one(spark, connectors.search_results("c"), c=feed)] == [("Flood hits town", "http://x", "d")]
+
+
+def test_searching(spark):
+    from tidemark.operators import searching
+
+    arr = lambda *v: F.array(*map(F.lit, v)) if v else F.array().cast("array<string>")
+    q = one(spark, searching.event_queries(arr("flood", "rain"), F.lit("Italy"), F.lit("2019-05-04").cast("date"), arr("Ada"), arr("Rome")), c=1)
+    assert [x["precision"] for x in q] == ["high", "high", "medium", "medium", "low", "low"] and q[0]["query"] == "Ada Italy flood May 2019" and q[-1]["query"] == "Italy rain May 2019"
+    assert one(spark, searching.boolean_queries(arr("flood", "heavy rain"), F.lit("Viet Nam"), arr(), arr("Hue")), c=1) == ['(flood OR "heavy rain") (Hue) "Viet Nam"', '(flood OR "heavy rain") "Viet Nam"']
+    for term, reason in {"inondation": "", "news": "generic", "flood flood": "repeated_words", "aaaah": "repeated_letters", "洪水 flood": "mixed_scripts", "a": "too_short"}.items():
+        assert one(spark, searching.term_reasons("c"), c=term) == reason, term
+    full = '{"local_terms": [{"country": "x", "disaster_type": "y", "terms": ["alluvione", "piena", "esondazione", "news"]}, {"country": "z", "disaster_type": "y", "terms": ["a"]}]}'
+    p = one(spark, searching.parsed_terms("c"), c=full)
+    assert p["status"] == "parsed_with_dropped_items" and p["terms"][0]["terms"] == ["alluvione", "piena", "esondazione"]
+
+
+def test_manifests(spark):
+    import numpy as np
+
+    from tidemark.operators import manifests
+
+    day = dt.date(2020, 1, 11)
+    slot = {"available": True, "status": "available", "outputs": {"rgb": "a.tif"}}
+    none = {"available": False, "status": "no_scene", "outputs": {}}
+    days = [{"date": str(day + dt.timedelta(i)), "relative_day": i, "sentinel_2": slot, "sentinel_1": none, "sentinel_3_slstr": none} for i in range(-10, 11)]
+    full = {"event_id": "e", "start_date": str(day), "latitude": 1.0, "longitude": 2.0, "bbox": [1.5, 0.5, 2.5, 1.5], "days": days}
+    df = spark.createDataFrame([("e", json.dumps(full)), ("e", json.dumps(full | {"days": days[1:]})), ("f", json.dumps(full)), ("e", "{")], "id string, m string").withColumn("m", manifests.parsed("m"))
+    rows = df.select(manifests.reject_reason(F.col("m"), F.col("id"), F.lit(day), F.lit(1.0), F.lit(2.0)).alias("r"), manifests.complete(F.col("m")).alias("c"), manifests.n_outputs(F.col("m")).alias("n")).collect()
+    assert [r["r"] for r in rows][:3] == [None, "other_days", "other_event"] and rows[3]["r"] in ("missing_manifest", "other_event")
+    assert rows[0]["c"] and rows[0]["n"] == 21 and manifests.slots(df.limit(1), "m", "id").count() == 63
+    mask = np.zeros((9, 9), bool)
+    mask[4, 4] = True
+    assert manifests.dilate(mask).sum() == 29 and manifests.isolated(mask, ~mask, 0.5) == (100.0, 0.0)
+    assert manifests.scaled(np.array([0.5, np.nan, 2]), np.array([True, True, True]), 255).tolist() == [128, 0, 255]
+    assert manifests.mosaic([np.array([1, 0, 2]), np.array([0, 0, 3])])[0].tolist() == [1, 0, 3]
