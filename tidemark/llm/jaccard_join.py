@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.grouping import group_of, materialised
-from tidemark.llm.words import Words, mix, text_chunks, window_hashes, window_starts
+from tidemark.llm.words import Words, give_back, mix, text_chunks, window_hashes, window_starts
 
 BITS = np.uint64(48)
 _MASK = (np.uint64(1) << BITS) - np.uint64(1)
@@ -144,6 +144,14 @@ def _chosen(group: pa.Table, docs: np.ndarray, size: int) -> dict[int, list[np.n
     return found
 
 
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Offsets, and the fields of the values, of a column of lists of structs."""
+    whole = pa.concat_arrays(column.chunks) if column.num_chunks != 1 else column.chunk(0)
+    offsets = whole.offsets.to_numpy()
+    values = whole.values.slice(offsets[0], offsets[-1] - offsets[0])
+    return offsets - offsets[0], [values.field(i).to_numpy(zero_copy_only=False) for i in range(values.type.num_fields)]
+
+
 def _bytes(values: np.ndarray) -> bytes:
     return values.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
@@ -201,30 +209,35 @@ def _verified(tries: DataFrame, docs: DataFrame, size: int, percent: int, all_pa
     fields = [("g", pa.int32()), ("a", pa.int64()), ("wide", pa.float64()), ("sets", pa.list_(pa.binary())), ("b", pa.list_(pa.int64())), ("b_wide", pa.list_(pa.float64()))]
 
     def send(group: pa.Table, wanted: pa.Table) -> pa.Table:
-        sets = _chosen(group, wanted["a"].to_numpy(), size) if len(wanted) else {}
-        raw = {a: [_bytes(v) for v in vs] for a, vs in sets.items()}
-        out: dict[str, list] = {name: [] for name, _ in fields}
-        for a, wide, bs in zip(wanted["a"].to_pylist(), wanted["wide"].to_pylist(), wanted["bs"].to_pylist(), strict=True):
-            by: dict[int, list[dict]] = {}
-            for b in bs:
-                by.setdefault(b["g"], []).append(b)
-            for g, some in by.items():
-                for name, value in zip(out, (g, a, wide, raw[a], [b["b"] for b in some], [b["wide"] for b in some]), strict=True):
-                    out[name].append(value)
-        return pa.table({name: pa.array(out[name], kind) for name, kind in fields})
+        if not len(wanted):
+            return pa.table({name: pa.array([], kind) for name, kind in fields})
+        ids, wide = wanted["a"].to_numpy(), wanted["wide"].to_numpy()
+        raw = {a: [_bytes(v) for v in vs] for a, vs in _chosen(group, ids, size).items()}
+        start, (g, b, b_wide) = _lists(wanted["bs"])
+        row = np.repeat(np.arange(len(ids)), np.diff(start))
+        order = np.lexsort((g, row))
+        row, g, b, b_wide = row[order], g[order], b[order], b_wide[order]
+        cut = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (g[1:] != g[:-1])]))
+        ends = np.append(cut, len(row))
+        out = pa.table([
+            pa.array(g[cut].astype(np.int32)), pa.array(ids[row[cut]]), pa.array(wide[row[cut]]), pa.array([raw[a] for a in ids[row[cut]].tolist()], pa.list_(pa.binary())),
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(b)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(b_wide)),
+        ], [name for name, _ in fields])
+        give_back()
+        return out
 
     sent = grouped.groupBy("g").cogroup(routed.groupBy("g")).applyInArrow(send, "g int, a long, wide double, sets array<binary>, b array<long>, b_wide array<double>")
 
     def count(group: pa.Table, wanted: pa.Table) -> pa.Table:
         out: list[tuple] = []
         sets = _chosen(group, np.unique(wanted["b"].combine_chunks().flatten().to_numpy()), size) if len(wanted) else {}
-        for row in wanted.to_pylist():
-            mine = [_values(raw) for raw in row["sets"]]
-            for b, wide in zip(row["b"], row["b_wide"], strict=True):
+        for a, a_wide, raws, others, widths in zip(*(wanted[k] for k in ("a", "wide", "sets", "b", "b_wide")), strict=True):
+            mine, a, a_wide = [_values(raw) for raw in raws.as_py()], a.as_py(), a_wide.as_py()
+            for b, wide in zip(others.as_py(), widths.as_py(), strict=True):
                 same, na, nb = _overlap(mine, sets[b])
-                linked, apart, reach = 100 * same >= percent * (na + nb - same), 1 - same / (na + nb - same), row["wide"] + wide
+                linked, apart, reach = 100 * same >= percent * (na + nb - same), 1 - same / (na + nb - same), a_wide + wide
                 if linked or all_pairs or (reach > 0 and apart - reach <= 1 - percent / 100 + 1e-9):
-                    out.append((row["a"], b, apart, linked))
+                    out.append((a, b, apart, linked))
         a, b, apart, linked = zip(*out, strict=True) if out else ((), (), (), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "apart": pa.array(apart, pa.float64()), "linked": pa.array(linked, pa.bool_())})
 
@@ -345,13 +358,8 @@ def _list_pairs(root: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
 
-def _grouped_pairs(pairs: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    a, start = np.unique(pairs[:, 0], return_index=True)
-    return a, np.split(pairs[:, 1], start[1:])
-
-
 #: Pairs of roots that a task holds before equal ones are merged.
-HELD = 500_000
+HELD = 200_000
 
 
 def _scan_lists(percent: int):
@@ -379,10 +387,11 @@ def _scan_lists(percent: int):
                         many = sum(map(len, found))
 
         def give(pairs: np.ndarray) -> pa.RecordBatch:
-            a, bs = _grouped_pairs(pairs)
-            kind = pa.list_(pa.struct([("b", pa.int64()), ("wide", pa.float64())]))
-            widths = [width.get(x, 0.0) for x in a.tolist()]
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(widths), pa.array([[(y, width.get(y, 0.0)) for y in x.tolist()] for x in bs], kind)], ["a", "wide", "bs"])
+            a, start = np.unique(pairs[:, 0], return_index=True)
+            b = pairs[:, 1]
+            far = lambda roots: np.fromiter((width.get(x, 0.0) for x in roots.tolist()), np.float64, len(roots))
+            partners = pa.StructArray.from_arrays([pa.array(b.copy()), pa.array(far(b))], ["b", "wide"])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(far(a)), pa.ListArray.from_arrays(pa.array(np.append(start, len(b)), pa.int32()), partners)], ["a", "wide", "bs"])
 
         width: dict[int, float] = {}  # of roots with members
         ready: list[np.ndarray] = []
