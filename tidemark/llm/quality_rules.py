@@ -39,9 +39,8 @@ def statistics(text: Column) -> dict[str, Column]:
     w = F.greatest(words, F.lit(1)).cast("double")
     return {
         "chars": F.length(text).cast("double"),
-        "upper": _without(text, r"A-Z\xC0-\xDE") / n,
+        "capitals": (F.length(text) - F.length(F.regexp_replace(text, r"[A-Z\xC0-\xDE]{3,}", ""))) / n,  # in runs
         "digits": _without(text, "0-9") / n,
-        "stops": _without(text, ".,;:?") / n,
         "shouts": _without(text, "!") / n,
         "bars": _without(text, "|") / n,
         "symbols": _without(text, r"#$%&*+=<>@^_~{}\[\]\\") / n,
