@@ -433,11 +433,11 @@ WITH q AS (SELECT item_id, substr(text, 1, 60) AS quote FROM benchmark)
 SELECT item_id, (SELECT count(*) FROM documents d WHERE contains(d.text, q.quote)) AS supported FROM q""")
 def quote_support(spark, d):
     q = t(spark, d, "benchmark").select("item_id", F.substring("text", 1, 60).alias("quote"))
-    # Quotes go to documents by their first word, so that no pair is tried without one in common.
+    # Quotes meet documents by their second word (the first may be cut), and only then the text itself is looked at.
     docs = t(spark, d, "documents").select("doc_id", "text")
-    first = lambda c: F.get(F.split(c, r"\s+"), F.lit(1))
-    words = docs.select("doc_id", "text", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("w"))
-    met = words.join(F.broadcast(q.withColumn("w", first("quote"))), "w").filter(F.expr("contains(text, quote)"))
+    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("w"))
+    tried = words.join(q.withColumn("w", F.get(F.split("quote", r"\s+"), F.lit(1))), "w").select("doc_id", "item_id", "quote")
+    met = tried.join(docs, "doc_id").filter(F.expr("contains(text, quote)"))
     n = met.select("item_id", "doc_id").distinct().groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
     return q.join(n, "item_id", "left").select("item_id", F.coalesce("n", F.lit(0)).alias("supported"))
 
