@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are turned into word arrays at a time; one longer document is taken whole.
 CHUNK_BYTES = 2_000_000
+#: Rows that are looked at together; at most 2**16, as row numbers share 64 bits with 48-bit hashes.
+SLICE_ROWS = 2_000
 
 _NAME = ctypes.util.find_library("c")
 _LIBC = ctypes.CDLL(_NAME) if _NAME and hasattr(ctypes.CDLL(_NAME), "malloc_trim") else None
@@ -95,22 +97,24 @@ def give_back() -> None:
         _LIBC.malloc_trim(0)
 
 
-def text_chunks(column: pa.ChunkedArray | pa.Array, lower: bool = False, limit: int = CHUNK_BYTES, rows: int = 50_000) -> Iterator[tuple[int, int, Words]]:
+def text_chunks(column: pa.ChunkedArray | pa.Array, lower: bool = False, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
     """(first row, last row + 1, words) for runs of rows of a text column; null texts have no words."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
         if isinstance(column, pa.ChunkedArray):
             column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.string())
-    column = pc.fill_null(column, "").cast(pa.large_string()).cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
-    data = column.buffers()[2] if len(column) else None
-    buf = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
-    a = 0
-    while a < len(column):
-        b = min(a + rows, max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1))
-        part = buf[offsets[a] : offsets[b]]
-        yield a, b, find_words(_LOWER[part] if lower else part, offsets[a : b + 1] - offsets[a])
-        a = b
+    for base in range(0, len(column), SLICE_ROWS):
+        # A slice at a time, as its offsets are made wider, which copies the text.
+        part = pc.fill_null(column.slice(base, SLICE_ROWS), "").cast(pa.large_string()).cast(pa.large_binary())
+        offsets = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset : part.offset + len(part) + 1]
+        data = part.buffers()[2]
+        buf = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
+        a = 0
+        while a < len(part):
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
+            text = buf[offsets[a] : offsets[b]]
+            yield base + a, base + b, find_words(_LOWER[text] if lower else text, offsets[a : b + 1] - offsets[a])
+            a = b
     give_back()
 
 
