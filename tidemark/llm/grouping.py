@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 #: Mean bytes of text, and mean rows, of one group of documents.
 GROUP_BYTES = 2_000_000
 GROUP_ROWS = 20_000
+#: Rows that go to a Python worker together while such a table is written; texts are long, and workers' memory is small.
+BATCH_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -26,8 +29,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read again, so that lineage ends there."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    path, conf = shared_dir(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(_BATCH, None)
+    conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_BATCH, before) if before is not None else conf.unset(_BATCH)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

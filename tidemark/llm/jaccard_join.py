@@ -47,6 +47,8 @@ BANDS = 8
 #: Shingles known to be frequent; the others count as rare and come in the order of their hashes. Only the order of
 #: the index depends on it, no result.
 HOT = 400_000
+#: Documents among which a task counts shingles.
+COUNTED_DOCS = 8_000
 
 
 def shingle_sets(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,13 +98,24 @@ def _sketches(size: int):
     """Rows of two kinds: for each document its size, set hashes and bands; for each frequent shingle of a batch its count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[np.ndarray] = []
+        held, docs = np.zeros(0, np.int64), 0
+
+        def frequent() -> pa.RecordBatch:
+            every = np.concatenate(seen)
+            seen.clear()
+            every.sort()
+            # Only those that are the same as the one before them; most occur once.
+            value, count = np.unique(every[1:][every[1:] == every[:-1]], return_counts=True)
+            often = count + 1 >= max(2, docs // 4000)
+            n = int(often.sum())
+            return _rows(True, pa.nulls(n, pa.int64()), count[often] + 1, value[often].view(np.int64), np.zeros(n, np.int64), np.zeros((n, BANDS), np.int64))
+
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            seen, held, docs = [], np.zeros(0, np.int64), 0
-            for a, b, w in text_chunks(table["text"], lower=True):
+            for a, b, w in text_chunks(batch["text"], lower=True):
                 sets, first = shingle_sets(w, size)
                 n, (f1, f2), bands = np.diff(first), _fingerprints(sets, first), _bands(sets, first)
-                yield _rows(False, table["doc_id"].slice(a, b - a).combine_chunks(), n, f1, f2, bands)
+                yield _rows(False, batch["doc_id"].slice(a, b - a), n, f1, f2, bands)
                 _, once = np.unique(f1, return_index=True)
                 new = np.zeros(len(n), dtype=bool)
                 new[once] = True
@@ -110,17 +123,11 @@ def _sketches(size: int):
                 held = np.concatenate([held, f1[new]])
                 docs += int(new.sum())
                 seen.append(sets[np.repeat(new, n)])
-            if seen:
-                every = np.concatenate(seen)
-                seen.clear()
-                every.sort()
-                # Only those that are the same as the one before them; most occur once.
-                value, count = np.unique(every[1:][every[1:] == every[:-1]], return_counts=True)
-                del every
-                count += 1
-                often = count >= max(2, docs // 4000)
-                if often.any():
-                    yield _rows(True, pa.nulls(int(often.sum()), pa.int64()), count[often], value[often].view(np.int64), np.zeros(int(often.sum()), np.int64), np.zeros((int(often.sum()), BANDS), np.int64))
+            if docs >= COUNTED_DOCS:
+                yield frequent()
+                held, docs = np.zeros(0, np.int64), 0
+        if seen:
+            yield frequent()
 
     return run
 
