@@ -131,20 +131,67 @@ def pending(events: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return events.join(done.select(key).distinct(), key, "left_anti")
 
 
+#: Candidates that the driver weighs at once, fewer where they meet in more sets than it may hold. 2 ** 16 sets is the most of 16.
+CANDIDATES, MOST_SETS = (128, 16), 2**16
+
+
 def greedy_cover(pairs: DataFrame, item: str, member: str) -> DataFrame:
-    """Items in the order of a greedy cover: at each step the one with most members that aren't covered yet.
+    """Items in the order of a greedy cover: at each step the one with most members that aren't covered yet, the smallest of equals.
 
-    The state is one row for each item still open; each round is two joins, on tables that are written down.
-    Rounds end when all members are covered, so there are as many as items are chosen.
+    Members that are in the same items are one row with their number. Each round looks at the items that lead by their
+    open members and at the sets of them that members are in; with these the driver takes items in turn while the best
+    is sure to come before all others, whose counts can only fall. So a round gives many items, and at least one.
+    A null item or member makes no pair.
     """
-    left = pairs.select(item, member).distinct()
+    of_member = pairs.select(item, member).dropna().distinct().groupBy(member).agg(F.sort_array(F.collect_list(item)).alias("_items"))
+    left = written(of_member.groupBy("_items").agg(F.count(F.lit(1)).alias("_n")), "open")
+    kind = left.schema["_items"].dataType.elementType.simpleString()
     chosen: list[tuple] = []
+    since: list = []  # chosen since the open sets were written
+    size = None
     while True:
-        best = left.groupBy(item).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), item).head(1)
-        if not best:
+        still = left.filter(~F.arrays_overlap("_items", _array(since, kind))) if since else left
+        counts = still.select(F.explode("_items").alias("i"), "_n").groupBy("i").agg(F.sum("_n").alias("n"))
+        lead = [(-r["n"], r["i"]) for r in counts.orderBy(F.desc("n"), "i").head(CANDIDATES[0] + 1)]
+        if not lead:
+            break
+        took = _leaders(still, lead, kind)
+        chosen += took
+        since += [i for i, _ in took]
+        size = size or -lead[0][0]
+        if -lead[0][0] * 2 <= size or len(since) >= 512:
+            left, since, size = written(left.filter(~F.arrays_overlap("_items", _array(since, kind))), "open"), [], None
+    return pairs.sparkSession.createDataFrame([(k, *x) for k, x in enumerate(chosen, 1)], f"step int, {item} {kind}, newly_covered long")
+
+
+def _array(values: list, kind: str) -> Column:
+    return F.array(*map(F.lit, values)).cast(f"array<{kind}>")
+
+
+def _leaders(still: DataFrame, lead: list[tuple], kind: str) -> list[tuple]:
+    """(item, newly covered) of the next steps of a greedy cover, for (-count, item) of the leading items in order."""
+    for many in CANDIDATES:
+        tried, other = [i for _, i in lead[:many]], lead[many] if len(lead) > many else None
+        met = still.select(F.array_intersect("_items", _array(tried, kind)).alias("s"), "_n").filter(F.size("s") > 0)
+        rows = met.groupBy("s").agg(F.sum("_n").alias("n")).limit(MOST_SETS + 1).collect()
+        if len(rows) <= MOST_SETS:
+            break
+    sets = {k: (tuple(r["s"]), r["n"]) for k, r in enumerate(rows)}
+    of_item: dict = {i: set() for i in tried}
+    for k, (s, _) in sets.items():
+        for i in s:
+            of_item[i].add(k)
+    count = {i: -n for n, i in lead[:many]}
+    took = []
+    while count:
+        n, best = min((-n, i) for i, n in count.items())
+        if n == 0 or (other and (n, best) > other):
             break
-        chosen.append((len(chosen) + 1, best[0][0], best[0][1]))
-        covered = left.filter(F.col(item) == best[0][0]).select(member)
-        left = written(left.join(covered, member, "left_anti"), "open")
-    kind = left.schema[item].dataType.simpleString()
-    return left.sparkSession.createDataFrame(chosen, f"step int, {item} {kind}, newly_covered long")
+        took.append((best, -n))
+        for k in of_item[best]:
+            for i in sets[k][0]:
+                if i != best and i in count:
+                    count[i] -= sets[k][1]
+                    of_item[i].discard(k)
+        del count[best]
+    return took
