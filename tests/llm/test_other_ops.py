@@ -39,6 +39,25 @@ def test_html_text(spark):
     assert html_text.extracted(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+BODY = "<p>" + "A long sentence, with words and stops. " * 12 + "</p>"
+LINKS = "<div><ul>" + "".join(f"<li><a>Link {i}</a></li>" for i in range(8)) + "</ul></div>"
+MARKS = [  # page, lines of the body, whether other text is kept
+    ("<div>" + BODY * 4 + "</div>" + LINKS, 4, []),
+    ("<div class='content'>" + BODY * 4 + "</div>" + "".join(f"<article><h3>Card {i}</h3><p>Read more on this.</p></article>" for i in range(5)), 4, []),
+    ("<main><div>" + BODY * 4 + "</div>" + LINKS + "</main>", 4, []),
+    ("<main><div>" + BODY * 4 + "</div>" + "".join(f"<article><h3>Card {i}</h3><p>Read more on this.</p></article>" for i in range(5)) + "</main>", 4, []),
+    ("<article><h1>Title of this</h1><div>" + BODY * 4 + "</div></article>", 4, ["Title of this"]),
+    ("<article><section><h2>One</h2>" + BODY * 4 + "</section><section><h2>Two</h2>" + BODY + "</section><section><h2>Three</h2><p>Short end, here.</p></section></article>", 5, ["One", "Two", "Three", "Short end, here."]),
+    ("<article><p>The lead, first.</p><div>" + BODY * 3 + "<ul><li>point one<li>point two</ul></div></article>", 3, ["The lead, first.", "point one", "point two"]),
+]
+
+
+@pytest.mark.parametrize("page, body, others", MARKS)
+def test_html_marks_compete_by_ratio(page, body, others):
+    got = html_text.main_text(page).split("\n")
+    assert [x for x in got if not x.startswith("A long")] == others and len(got) == body + len(others)
+
+
 def brute_search(rows, k=20):
     whole = [(i, [math.floor(64 * float(np.float32(c))) for c in v]) for i, v in rows if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
     out = set()

@@ -6,7 +6,8 @@ is the path's ratio. Ratios are smoothed along the page, over blocks next to eac
 nearest article, main, section, division or body), so that a short heading or a single-word paragraph shares the
 weight of the text around it. Containers whose weight is under one standard deviation of all go. What an element says
 of itself comes first: menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles never
-take part, and where a page marks an article or a main part, only those compete.
+take part. A marked part (the outermost article or main) competes as a whole, with a bonus; inside it containers
+compete by their mean ratio, with the same bonus, so that a short section of the article stays beside a long one.
 
 Defined results: a null or empty page has the empty text; markup that is cut off or not closed ends with the page;
 rows may repeat and page_id may be null; extra columns are kept, but text and n_chars are replaced.
@@ -46,6 +47,8 @@ _WORDS = frozenset(
     login search pagination pager toolbar form""".split()
 )
 _STOPS = frozenset(".,;:!?…。，、！？")
+#: What the weight of a marked part is multiplied by.
+_BONUS = 2.0
 
 
 def _label(tag: str, attrs: str, inside: list[str]) -> bool:
@@ -66,10 +69,10 @@ def _label(tag: str, attrs: str, inside: list[str]) -> bool:
     return bool(words & _WORDS)
 
 
-def blocks_of(page: str) -> list[tuple[tuple[str, ...], int, bool, str]]:
-    """(tag path, container, marked as main text, text) for every block of text that takes part."""
-    out: list[tuple[tuple[str, ...], int, bool, str]] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, container, dropped
+def blocks_of(page: str) -> list[tuple[tuple[str, ...], int, int, str]]:
+    """(tag path, container, marked part or 0, text) for every block of text that takes part."""
+    out: list[tuple[tuple[str, ...], int, int, str]] = []
+    stack: list[tuple[str, int, bool, int]] = []  # tag, container, dropped, marked part
     text: list[str] = []
     containers = at = 0
     end = len(page)
@@ -79,7 +82,7 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], int, bool, str]]:
         text.clear()
         if got:
             tags = [s[0] for s in stack if s[0] not in _INLINE]
-            out.append((tuple(tags), stack[-1][1] if stack else 0, "article" in tags or "main" in tags, got))
+            out.append((tuple(tags), stack[-1][1] if stack else 0, stack[-1][3] if stack else 0, got))
 
     def close(to: int) -> None:
         while len(stack) > to:
@@ -146,7 +149,8 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], int, bool, str]]:
         if tag in _CONTAINER:
             containers += 1
             own = containers
-        stack.append((tag, own, dropped))
+        part = stack[-1][3] if stack else 0
+        stack.append((tag, own, dropped, part or (own if tag in ("article", "main") else 0)))
     if stack and stack[-1][2]:
         close(0)
     flush()
@@ -155,8 +159,6 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], int, bool, str]]:
 
 def main_text(page: str | None) -> str:
     blocks = blocks_of(page or "")
-    if any(b[2] for b in blocks):
-        blocks = [b for b in blocks if b[2]]
     if not blocks:
         return ""
     paths = {p: i for i, p in enumerate(dict.fromkeys(b[0] for b in blocks))}
@@ -167,11 +169,16 @@ def main_text(page: str | None) -> str:
     ratio = (np.bincount(path, size) / nodes * (1 + np.bincount(path, stops) / nodes))[path]
     wide = np.concatenate([ratio[:1], ratio, ratio[-1:]])
     smooth = (wide[:-2] + 2 * wide[1:-1] + wide[2:]) / 4
-    ids, box = np.unique([b[1] for b in blocks], return_inverse=True)
-    fused = np.bincount(box, smooth * size, len(ids))
-    keep = fused >= fused.std()
-    # A marked article is one text, however its parts are boxed.
-    return "\n".join(b[3] for b, k in zip(blocks, keep[box], strict=True) if k or b[2])
+    part = np.array([b[2] for b in blocks])
+    _, own = np.unique([b[1] for b in blocks], return_inverse=True)
+    _, box = np.unique([b[2] or b[1] for b in blocks], return_inverse=True)
+    fused = np.bincount(box, smooth * size)
+    keep = fused[box] * np.where(part > 0, _BONUS, 1) >= fused.std()
+    mean = np.bincount(own, smooth * size) / np.bincount(own, size)
+    for p in np.unique(part[part > 0]):
+        inside = part == p
+        keep[inside] &= mean[own[inside]] * _BONUS >= mean[np.unique(own[inside])].std()
+    return "\n".join(b[3] for b, k in zip(blocks, keep, strict=True) if k)
 
 
 def extracted(pages: DataFrame) -> DataFrame:
