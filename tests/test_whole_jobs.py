@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tidemark.operators import relational
+from tidemark.operators import matching, relational
 from tidemark.plans import queries as _  # noqa: F401
 from tidemark.plans.registry import QUERIES
 
@@ -38,3 +38,29 @@ def test_greedy_cover_query_takes_all_rows(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_suppkey", "l_orderkey").collect()
     got = QUERIES["greedy_cover"](spark, sf_dir).orderBy("step").collect()
     assert [tuple(x) for x in got] == brute_cover([tuple(x) for x in rows])
+
+
+def test_fuzzy_and_edit_match_take_all_names(spark, sf_dir):
+    parts = [(k, n.lower()) for k, n in spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name").collect()]
+    blocks = {}
+    for k, n in parts:
+        blocks.setdefault(k % 40, []).append((k, n))
+    fuzzy, edit = set(), set()
+    for k, n in parts:
+        scores = {u: matching.ratio(n + "s", x) for u, x in blocks[k % 40]}
+        best = min((-v, u) for u, v in scores.items())
+        fuzzy.add((k, best[1], round(-best[0], 9)) if -best[0] >= 0.9 else (k, None, None))
+        edit |= {(k, u, far) for u, x in blocks[k % 40] if (far := levenshtein(n + "s", x)) <= 3}
+    got = QUERIES["fuzzy_match"](spark, sf_dir).collect()
+    assert len(got) == len(parts) and {(r["id"], r["match_id"], r["match_score"] and round(r["match_score"], 9)) for r in got} == fuzzy
+    got = [tuple(r) for r in QUERIES["edit_match_all"](spark, sf_dir).collect()]
+    assert len(got) == len(edit) and set(got) == edit
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]

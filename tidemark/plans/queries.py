@@ -414,7 +414,7 @@ def article_relevance(spark, d):
 @query("fuzzy_match")
 def fuzzy_match(spark, d):
     parts = t(spark, d, "part").select((F.col("p_partkey") % 40).alias("block"), F.col("p_partkey").alias("id"), F.lower("p_name").alias("name"))
-    left = parts.filter("id % 10 = 0").select("block", "id", F.concat("name", F.lit("s")).alias("name"))
+    left = parts.select("block", "id", F.concat("name", F.lit("s")).alias("name"))
     return matching.fuzzy_join(left, parts.select("block", F.col("name").alias("key"), F.col("id").alias("unit")), ["block"], "name", "key", "unit", 0.9, 0.0)
 
 
@@ -422,8 +422,23 @@ def fuzzy_match(spark, d):
 WITH p AS (SELECT p_partkey % 40 AS block, p_partkey AS id, lower(p_name) AS name FROM part), l AS (SELECT block, id, name || 's' AS name FROM p WHERE id % 10 = 0)
 SELECT l.id, p.id AS unit, levenshtein(l.name, p.name)::INTEGER AS distance FROM l JOIN p USING (block) WHERE levenshtein(l.name, p.name) <= 3""")
 def edit_match(spark, d):
-    parts = t(spark, d, "part").select((F.col("p_partkey") % 40).alias("block"), F.col("p_partkey").alias("unit"), F.lower("p_name").alias("key"))
-    left = parts.filter("unit % 10 = 0").select("block", F.col("unit").alias("id"), F.concat("key", F.lit("s")).alias("name"))
+    """Bound by its SQL to a tenth of the names; ``edit_match_all`` takes all."""
+    parts = _edit_parts(spark, d)
+    return _edit_pairs(parts.filter("unit % 10 = 0"), parts)
+
+
+@query("edit_match_all")
+def edit_match_all(spark, d):
+    parts = _edit_parts(spark, d)
+    return _edit_pairs(parts, parts)
+
+
+def _edit_parts(spark, d):
+    return t(spark, d, "part").select((F.col("p_partkey") % 40).alias("block"), F.col("p_partkey").alias("unit"), F.lower("p_name").alias("key"))
+
+
+def _edit_pairs(some, parts):
+    left = some.select("block", F.col("unit").alias("id"), F.concat("key", F.lit("s")).alias("name"))
     far = F.levenshtein("name", "key")
     return left.join(parts, "block").filter(F.abs(F.length("name") - F.length("key")) <= 3).withColumn("distance", far).filter("distance <= 3").select("id", "unit", "distance")
 
