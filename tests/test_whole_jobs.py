@@ -3,8 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.operators import matching, relational
+from tidemark.functions import clean
+from tidemark.operators import matching, news, relational
 from tidemark.plans import queries as _  # noqa: F401
 from tidemark.plans.registry import QUERIES
 
@@ -57,6 +59,49 @@ def test_fuzzy_and_edit_match_take_all_names(spark, sf_dir):
     assert len(got) == len(edit) and set(got) == edit
 
 
+def articles(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    df = df.withColumn("title", F.split("text", "\n")[0]).withColumn("key", F.lower(clean.collapse("title")))
+    return [r.asDict() for r in df.orderBy("doc_id").collect()]
+
+
+def test_news_dedupe_keeps_all_but_repeats(spark, sf_dir):
+    seen, want = set(), set()
+    for r in articles(spark, sf_dir):
+        keys = {(r["source"], "u", r["text"])} | ({(r["source"], "t", r["key"])} if r["key"] else set())
+        if not keys & seen:
+            seen |= keys
+            want.add((r["doc_id"], r["title"]))
+    got = [(r["doc_id"], r["title"]) for r in QUERIES["news_dedupe"](spark, sf_dir).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_prefer_direct_keeps_all_but_repeats(spark, sf_dir):
+    names = ["FloodList", "ReliefWeb", "Google News (FloodList)", "Wikipedia", "GDACS"]
+    priority = {r["n"]: r["p"] for r in spark.createDataFrame([(n,) for n in names], "n string").select("n", news.source_priority("n").alias("p")).collect()}
+    rows = articles(spark, sf_dir)
+    events_with_direct = {r["source"] for r in rows if r["doc_id"] % 5 == 0}
+    kept, place = [], {}
+    for r in rows:
+        name = names[r["doc_id"] % 5]
+        if name.startswith("Google") and r["source"] in events_with_direct:
+            continue
+        rank = priority[name] * 10_000 + (3 if r["n_chars"] > 2000 else 1) * 1_000 + r["n_chars"] % 10
+        keys = [(r["source"], "t", r["key"])] * bool(r["key"]) + [(r["source"], "u", r["text"])]
+        at = next((place[k] for k in keys if k in place), None)
+        if at is None:
+            at = len(kept)
+            kept.append((rank, r["doc_id"]))
+        elif rank > kept[at][0]:
+            kept[at] = (rank, r["doc_id"])
+        else:
+            continue
+        for k in keys:
+            place[k] = at
+    got = [r["doc_id"] for r in QUERIES["prefer_direct"](spark, sf_dir).collect()]
+    assert len(got) == len(kept) and set(got) == {i for _, i in kept}
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

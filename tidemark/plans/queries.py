@@ -245,9 +245,18 @@ def best_url(spark, d):
     return news.best_by_url(rows, "e", "url", "score", "page_id").select("url", "page_id", "score")
 
 
+def _first_line():
+    return F.substring_index("text", "\n", 1)
+
+
+def _address():
+    """One for each text, so that only true copies share it."""
+    return F.concat(F.lit("https://x.org/"), F.sha1(F.coalesce("text", F.lit(""))))
+
+
 @query("news_dedupe")
 def news_dedupe(spark, d):
-    docs = t(spark, d, "documents").select("source", "doc_id", F.substring(F.regexp_replace("text", "\n.*", ""), 1, 80).alias("title"), F.concat(F.lit("https://x.org/"), F.col("doc_id") % 700).alias("url"))
+    docs = t(spark, d, "documents").select("source", "doc_id", _first_line().alias("title"), _address().alias("url"))
     return news.drop_repeats(docs, "source", "url", "title", "doc_id")
 
 
@@ -255,7 +264,7 @@ def news_dedupe(spark, d):
 def prefer_direct(spark, d):
     names = F.array(*map(F.lit, ["FloodList", "ReliefWeb", "Google News (FloodList)", "Wikipedia", "GDACS"]))
     docs = t(spark, d, "documents").select(
-        F.col("source").alias("event"), "doc_id", F.get(names, (F.col("doc_id") % 5).cast("int")).alias("source"), F.substring("text", 1, 40).alias("title"), F.concat(F.lit("https://x.org/"), F.col("doc_id") % 300).alias("url"),
+        F.col("source").alias("event"), "doc_id", F.get(names, (F.col("doc_id") % 5).cast("int")).alias("source"), _first_line().alias("title"), _address().alias("url"),
         F.when(F.col("n_chars") > 2000, "high").otherwise("low").alias("confidence"), (F.col("n_chars") % 10).alias("relevance_score"))
     return news.prefer_direct(docs, "event", "doc_id")
 
