@@ -5,10 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tests.oracle import spark_rows, sql_rows
 from tidemark.functions import clean
 from tidemark.operators import matching, news, relational
 from tidemark.plans import queries as _  # noqa: F401
-from tidemark.plans.registry import QUERIES
+from tidemark.plans.registry import ORACLES, QUERIES
 
 
 def brute_cover(pairs):
@@ -102,6 +103,32 @@ def test_prefer_direct_keeps_all_but_repeats(spark, sf_dir):
     assert len(got) == len(kept) and set(got) == {i for _, i in kept}
 
 
+def test_quotes_are_counted_whole_and_without_inner_words(spark, tmp_path):
+    long = "words of a quote that is longer than sixty characters, so that its end counts too"
+    docs = [(1, "x " + long + " y"), (1, "x " + long[:70] + " no"), (None, "one 中文文本句 oneword"), (2, "two short words"), (2, "two short words"), (3, ""), (4, None)]
+    items = [(1, long), (2, "中文文"), (3, "ewor"), (4, "two sho"), (5, ""), (6, None), (7, "o short w"), (8, " short "), (9, "absent"), (10, long)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    count = lambda q: sum(q is not None and t is not None and q in t for _, t in docs)
+    got = dict(map(tuple, QUERIES["quote_support_all"](spark, str(tmp_path)).collect()))
+    assert got == {i: count(q) for i, q in items} and got[1] == 1
+    assert spark_rows(QUERIES["quote_support"](spark, str(tmp_path))) == sql_rows(ORACLES["quote_support"], str(tmp_path))
+
+
+def test_quote_support_all_equals_brute_force(spark, sf_dir):
+    texts = [r[0] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()
+    got = dict(map(tuple, QUERIES["quote_support_all"](spark, sf_dir).collect()))
+    assert got == {i: sum(q in x for x in texts if x is not None) for i, q in items}
+
+
+def test_chain_parse_takes_whole_turns(spark, tmp_path):
+    turns = [(1, 1, "user", " " * 60 + "late words"), (1, 2, "user", "early words")]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = [r.asDict() for r in QUERIES["chain_parse"](spark, str(tmp_path)).collect()]
+    assert got == [{"conv_id": 1, "status": "parsed", "steps": 2, "validity": "valid"}]
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

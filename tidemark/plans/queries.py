@@ -456,14 +456,32 @@ def _edit_pairs(some, parts):
 WITH q AS (SELECT item_id, substr(text, 1, 60) AS quote FROM benchmark)
 SELECT item_id, (SELECT count(*) FROM documents d WHERE contains(d.text, q.quote)) AS supported FROM q""")
 def quote_support(spark, d):
-    q = t(spark, d, "benchmark").select("item_id", F.substring("text", 1, 60).alias("quote"))
-    # Quotes meet documents by their second word (the first may be cut), and only then the text itself is looked at.
-    docs = t(spark, d, "documents").select("doc_id", "text")
-    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("w"))
-    tried = words.join(q.withColumn("w", F.get(F.split("quote", r"\s+"), F.lit(1))), "w").select("doc_id", "item_id", "quote")
-    met = tried.join(docs, "doc_id").filter(F.expr("contains(text, quote)"))
-    n = met.select("item_id", "doc_id").distinct().groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-    return q.join(n, "item_id", "left").select("item_id", F.coalesce("n", F.lit(0)).alias("supported"))
+    """Bound by its SQL to the first 60 characters; ``quote_support_all`` takes whole quotes."""
+    return _supported(spark, d, F.substring("text", 1, 60))
+
+
+@query("quote_support_all")
+def quote_support_all(spark, d):
+    return _supported(spark, d, F.col("text"))
+
+
+def _supported(spark, d, quote):
+    q = t(spark, d, "benchmark").select("item_id", quote.alias("quote"))
+    # Quotes meet documents by their longest word with white space on both sides, which stands so in any text that has
+    # the quote, and only then the text itself is looked at. Quotes without one are looked for in all texts.
+    parts = F.split("quote", r"\s+")
+    inner = F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0)))
+    found = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    quotes = q.select("quote").filter("quote is not null").distinct().withColumn("w", found)
+    # Equal texts count together, so that ids may be null or repeated.
+    docs = t(spark, d, "documents").filter("text is not null").select(F.sha2("text", 256).alias("k"), "text")
+    texts = docs.groupBy("k").agg(F.any_value("text").alias("text"), F.count(F.lit(1)).alias("n"))
+    words = docs.select("k", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("w"))
+    tried = words.join(quotes.filter("w is not null"), "w").select("k", "quote").distinct()
+    met = tried.join(texts, "k").filter(F.expr("contains(text, quote)")).select("quote", "n")
+    rest = texts.join(quotes.filter("w is null").select("quote"), F.expr("contains(text, quote)")).select("quote", "n")
+    n = met.unionByName(rest).groupBy("quote").agg(F.sum("n").alias("n"))
+    return q.join(n, "quote", "left").select("item_id", F.coalesce("n", F.lit(0)).alias("supported"))
 
 
 @query("quote_fuzzy")
@@ -483,7 +501,7 @@ def nested_chain(spark, d):
 
 @query("chain_parse")
 def chain_parse(spark, d):
-    step = F.struct(F.col("role").alias("type_event"), F.substring("text", 1, 50).alias("description"), F.substring("text", 1, 20).alias("supporting_quote"))
+    step = F.struct(F.col("role").alias("type_event"), F.col("text").alias("description"), F.col("text").alias("supporting_quote"))
     chains = t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", step.alias("s")))).alias("a"))
     body = F.to_json(F.struct(F.transform("a", lambda x, i: F.struct((i + 1).alias("n_event"), x["s"]["type_event"].alias("type_event"), x["s"]["description"].alias("description"), x["s"]["supporting_quote"].alias("supporting_quote"))).alias("causal_chain")))
     answers = chains.select("conv_id", body.alias("json"), F.concat(F.lit("Here it is: "), body).alias("answer"))
