@@ -190,6 +190,15 @@ def test_decontamination(spark, docs):
     assert left == {w[0] for w in want if not w[5]}
 
 
+@pytest.mark.parametrize("most", [decontaminate.BROADCAST_BYTES, -1])
+def test_decontamination_judges_each_row(spark, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", most)
+    rows = [(None, "clean one"), (None, "it says one two three here"), (None, "clean two"), (None, None), (7, "one two three"), (7, "clean three"), (8, ""), (8, "clean two")]
+    df = spark.createDataFrame([(*x, k) for k, x in enumerate(rows)], "doc_id long, text string, extra int")
+    left = decontaminate.without_contaminated(df, spark.createDataFrame([(1, "one two three")], "item_id long, text string"))
+    assert left.columns == df.columns and sorted(r["extra"] for r in left.collect()) == [0, 2, 3, 5, 6, 7]
+
+
 def test_decontamination_by_shuffle(spark, docs, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
     bench = spark.createDataFrame([(1, awkward()[0][1])], "item_id long, text string")

@@ -127,11 +127,15 @@ def _scan(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """The documents that hold no test window, with all their columns.
 
-    Rows that share the doc_id of a contaminated one, null included, go with it. The ids of contaminated documents are
-    broadcast only where Spark finds them small at run time.
+    Each row is judged for itself, whatever its doc_id: hits depend on the text alone, so that rows are known by 128 bits
+    of its hashes, which are the same wherever a row is read again. The hashes of contaminated documents are broadcast
+    only where Spark finds them small at run time.
     """
-    bad = contamination(docs, benchmark, size).filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    text = F.col("text").cast("string")
+    key = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("tidemark"), text).alias("b"))
+    bad = _scan(docs.select(key.alias("doc_id"), text.alias("text")), benchmark, size).filter("contaminated").select("doc_id.a", "doc_id.b").distinct()
+    keyed = docs.withColumns({"_a": key["a"], "_b": key["b"]})
+    return keyed.join(bad, (F.col("_a") == F.col("a")) & (F.col("_b") == F.col("b")), "left_anti").drop("_a", "_b")
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
