@@ -38,9 +38,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, in whole copies."""
+    """Each document as often as the mix takes it, in whole copies, sorted by each copy's position in the curriculum."""
     taken = mixed(docs).filter("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    return taken.withColumn("_at", F.explode(F.slice("positions", F.lit(1), F.col("copies")))).orderBy("_at").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.oracle import spark_rows, sql_rows
-from tidemark.llm import components, html_text, queries, quote_links, topk_search, url_filter
+from tidemark.llm import components, html_text, mixture, queries, quote_links, topk_search, url_filter
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -171,6 +171,18 @@ def test_components(spark):
     assert {n: got.get(n, n) for n in want} == want and set(got) <= set(want)
 
 
+def test_mixed_copies_stand_at_their_positions(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = [r["doc_id"] for r in corpus_pipeline.mix_sources(spark, docs, sf_dir).collect()]
+    at = []
+    for r in mixture.mixed(docs).filter("copies > 0").collect():
+        assert r["positions"][0] == r["position"] and list(r["positions"]) == sorted(r["positions"]) and r["positions"][r["copies"] - 1] <= 1
+        at += [(p, r["doc_id"]) for p in r["positions"][: r["copies"]]]
+    places = {i: sorted(p for p, k in at if k == i) for _, i in at}
+    order = [places[i].pop(0) for i in out]
+    assert order == sorted(p for p, _ in at) and not any(places.values())
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     sizes = []

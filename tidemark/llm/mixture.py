@@ -64,12 +64,13 @@ def _position(share: Column, schedule: Column) -> Column:
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, schedules: tuple[tuple[float, float, float], ...] = SCHEDULES, total: float = TOTAL, most: float = MOST) -> DataFrame:
-    """The documents' rows with size, source_size, target, taken (words, repeats counted), copies (whole ones) and position.
+    """The documents' rows with size, source_size, target, taken (words, repeats counted), copies (whole ones), position and positions.
 
     The last document that a source needs is taken in part, so that ``taken`` sums up to the target; ``copies`` rounds
-    each document's part to whole copies. ``position`` is the time of the first copy, between 0 and 1.
+    each document's part to whole copies. ``position`` is the time of the first copy, between 0 and 1, and ``positions`` has
+    that of each.
     """
-    docs = docs.drop("size", "source_size", "target", "taken", "copies", "position", "limit", "k", "_key", "_part", "_ahead", "_within", "_s", "_p")
+    docs = docs.drop("size", "source_size", "target", "taken", "copies", "position", "positions", "limit", "k", "_key", "_part", "_ahead", "_within", "_s", "_p")
     sized = docs.withColumn("size", n_words(F.col("text").cast("string"))).withColumn("_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sized = sized.withColumn("_part", F.substring("_key", 1, 3)).withColumn("source", F.col("source").cast("string"))
     return _placed(sized, weights, schedules, total, most)
@@ -95,6 +96,7 @@ def _placed(sized: DataFrame, weights, schedules, total: float, most: float) ->
         placed.withColumn("taken", taken)
         .withColumn("copies", F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int"))
         .withColumn("position", _position(F.when(F.col("target") > 0, at / F.col("target")), schedule))
+        .withColumn("positions", F.array(*[_position(F.when(F.col("target") > 0, (at + i * F.col("source_size")) / F.col("target")), schedule) for i in range(len(laps))]))
         .drop("_key", "_part", "_within", "_ahead", "k")
     )
 
