@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,29 +15,43 @@ from pyspark.sql import functions as F
 #: Mean bytes of text, and mean rows, of one group of documents.
 GROUP_BYTES = 2_000_000
 GROUP_ROWS = 20_000
-#: Rows that go to a Python worker together while such a table is written; texts are long, and workers' memory is small.
-BATCH_ROWS = 2_000
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows, and bytes, at most, that go to a Python worker together while a table is written; texts are long, and memory is small.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names; that setting is made only where there is none."""
+    """A new path in the folder that ``spark.checkpoint.dir`` names; that setting is made only where there is none, in local mode.
+
+    On a cluster a folder of the driver's would be another one on each machine, so there its absence is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While this lasts, plans that start send texts to Python workers in small batches. Results don't depend on it."""
+    before = {k: spark.conf.get(k, None) for k in BATCHES}
+    for k, v in BATCHES.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read again, so that lineage ends there."""
-    path, conf = shared_dir(df.sparkSession, name), df.sparkSession.conf
-    before = conf.get(_BATCH, None)
-    conf.set(_BATCH, str(BATCH_ROWS))
-    try:
+    path = shared_dir(df.sparkSession, name)
+    with small_batches(df.sparkSession):
         df.write.parquet(path)
-    finally:
-        conf.set(_BATCH, before) if before is not None else conf.unset(_BATCH)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

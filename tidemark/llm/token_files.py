@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -31,15 +31,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.grouping import shared_dir
+from tidemark.llm.grouping import shared_dir, small_batches
+from tidemark.llm.words import give_back
 
 BLOCK = 256
 #: Share of a block's ids that the width must hold.
 PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 18
 END_ID = 1
-#: Words whose ids an encoder remembers; when there are more it starts anew.
-REMEMBERED = 1_200_000
+#: Bytes, about, of the words whose ids an encoder remembers; when they take more it starts anew.
+REMEMBERED = 48_000_000
+#: What a remembered word takes besides its own bytes: its object, its place in the table and its bounds; about.
+_ENTRY = 160
 _LANES = 64
 #: Fixed value: how the tokenizer's file splits a text into pieces.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -104,8 +107,8 @@ def pack_segment(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     return data, len(head) + start[:-1] * 8
 
 
-def unpack_segment(data: bytes) -> np.ndarray:
-    if data[:4] != b"TMK1":
+def unpack_segment(data: bytes | pa.Buffer) -> np.ndarray:
+    if bytes(data[:4]) != b"TMK1":
         raise ValueError("not a segment of token ids")
     n, blocks, extra = np.frombuffer(data, "<u4", 3, 4).tolist()
     at = 16
@@ -139,17 +142,22 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        kinds = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"]
-        # Pieces are split here only where the file says how, and that way is this one; else the library does it all.
-        known = [k["type"] for k in kinds] == ["Split", "ByteLevel"] and kinds[0]["pattern"].get("Regex") == PIECE
-        self.split = regex.compile(PIECE).findall if known else None
+        said = json.loads(self.tokenizer.to_str())
+        parts = lambda k, many: (said[k] or {}).get(many) or ([said[k]] if said[k] else [])
+        normal, kinds = parts("normalizer", "normalizers"), parts("pre_tokenizer", "pretokenizers")
+        # Words are taken one by one, and pieces split here, only where the file says how, and that way is this one; else
+        # the library gets whole texts.
+        self.split = None
+        if [k["type"] for k in normal] == ["NFC", "Replace", "Lowercase"] and normal[1]["pattern"].get("Regex") == r"\s+" and normal[1]["content"] == " ":
+            if [k["type"] for k in kinds] == ["Split", "ByteLevel"] and kinds[0]["pattern"].get("Regex") == PIECE:
+                self.split = regex.compile(PIECE).findall
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 20, dtype=np.uint32)
         self.bounds = np.zeros(1 << 18, dtype=np.int64)
-        self.n = 0
+        self.n = self.size = 0
         self.pieces: dict[str, list[int]] = {}
 
     def _add(self, words: list[bytes], ids: list[list[int]]) -> None:
@@ -164,6 +172,7 @@ class Encoder:
         self.bounds[self.n + 1 : end + 1] = a + np.cumsum(sizes)
         self.known.update(zip(words, range(self.n, end), strict=True))
         self.n = end
+        self.size += sum(map(len, words)) + _ENTRY * len(words)
 
     def _piece(self, piece: str) -> list[int]:
         got = self.pieces.get(piece)
@@ -174,14 +183,12 @@ class Encoder:
 
     def _learn(self, words: list[bytes]) -> None:
         """Remembers the ids of new words. Latin-1 words are normal as they are, and the library's model takes their pieces."""
-        if len(self.pieces) > REMEMBERED // 4:
+        if len(self.pieces) * 2 * _ENTRY > REMEMBERED:
             self.pieces.clear()
         plain, other, ids, piece = [], [], [], self._piece
         for w in words:
             text = w.decode()
-            if not self.split:
-                other.append(w)
-            elif w.isalpha():  # ASCII letters
+            if w.isalpha():  # ASCII letters
                 plain.append(w)
                 ids.append(piece(text.lower()))
             elif w[:-1].isalpha() and w[-1:] in b",.!":
@@ -198,6 +205,9 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each with the end id after it, and how many each text has."""
+        if not self.split:
+            ids = [[*e.ids, END_ID] for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(ids), np.uint32), np.array([len(x) for x in ids], dtype=np.int64)
         words: list[bytes] = []
         counts = np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
@@ -207,12 +217,12 @@ class Encoder:
                 # A stop beside no other sign is a piece of its own; set apart, words have fewer forms. Only where all
                 # characters are ASCII or Latin-1 letters can that be told from bytes.
                 signs = text.translate(_SIGNS)
-                if self.split and b"pp" not in signs and b"q" not in signs and b"\xc3\x97" not in text and b"\xc3\xb7" not in text:
+                if b"pp" not in signs and b"q" not in signs and b"\xc3\x97" not in text and b"\xc3\xb7" not in text:
                     text = text.replace(b",", b" , ").replace(b".", b" . ")
             mine = text.split()
             words += mine
             counts[i] = len(mine)
-        if self.n > REMEMBERED:
+        if self.size > REMEMBERED:
             self._forget()
         index = list(map(self.known.get, words))
         new = [i for i, k in enumerate(index) if k is None]
@@ -267,6 +277,7 @@ def _segments(path: str):
                 a = b
                 if sum(len(x[1]) for x in held) >= SEGMENT_IDS:
                     yield segment()
+                    give_back()
         if held:
             yield segment()
 
@@ -277,12 +288,13 @@ def _names(schema: str) -> list[str]:
     return [x.split()[0] for x in schema.split(", ")]
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
-    """Encodes the texts and writes them to ``path``, in ascending doc_id order over the files' numbers."""
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, order: Sequence[str] = ("doc_id",)) -> None:
+    """Encodes the texts and writes them to ``path``, in ascending order (by doc_id, if not told) over the files' numbers."""
     spark = docs.sparkSession
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ranged = slim.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id")
-    ranged.mapInArrow(_segments(tokenizer), _SEGMENT).write.parquet(path)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *[F.col(k) for k in order if k != "doc_id"])
+    ranged = slim.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order).select("doc_id", "text")
+    with small_batches(spark):
+        ranged.mapInArrow(_segments(tokenizer), _SEGMENT).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -294,26 +306,27 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                ids = unpack_segment(row["data"])
-                size = np.array(row["doc_sizes"], dtype=np.int64)
+            for i in range(len(batch)):
+                row = {k: batch[k][i] for k in ("file", "seg_start", "doc_ids", "doc_sizes", "data")}
+                ids = unpack_segment(row["data"].as_buffer())
+                size = row["doc_sizes"].values.to_numpy()
                 at = np.concatenate([[0], np.cumsum(size)])
                 raw = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer((at * 4).astype(np.int64).tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(size), row["file"], np.int32)), pa.array(row["doc_ids"], pa.int64()), pa.array(row["seg_start"] + at[:-1]), pa.array(size), raw.cast(pa.binary())], ["file", "doc_id", "start", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(size), row["file"].as_py(), np.int32)), row["doc_ids"].values, pa.array(row["seg_start"].as_py() + at[:-1]), pa.array(size), raw.cast(pa.binary())], ["file", "doc_id", "start", "n_tokens", "ids"])
 
     docs = files.select("file", "seg_start", "doc_ids", "doc_sizes", "data").mapInArrow(unpack, "file int, doc_id long, start long, n_tokens long, ids binary")
     return docs.join(F.broadcast(base), F.col("file") == F.col("f")).select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids")
 
 
-def token_digest(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Writes the documents' token files to the shared folder, reads them back and digests what they hold."""
+def token_digest(docs: DataFrame, tokenizer: str | None = None, order: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Writes the documents' token files to the shared folder, in the given order, reads them back and digests what they hold."""
     if tokenizer is None:
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
     spark = docs.sparkSession
     path = shared_dir(spark, "tokens")
-    write_tokens(docs, path, tokenizer)
+    write_tokens(docs, path, tokenizer, order)
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
