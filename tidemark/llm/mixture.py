@@ -16,7 +16,8 @@ limit / weight.
 
 Defined results: a null or blank text has size 0 and nothing is taken of it; a null source is a source of its own, the
 last in order; a null doc_id is ordered as the empty string; rows with one doc_id are separate documents; equal rows
-may change places; an empty table gives none; columns that the operator adds replace columns of these names.
+may change places; an empty table gives none; columns that the operator adds replace columns of these names in
+``mixed``, which keeps all others, whatever they are called; ``copies_in_order`` keeps every column as it is.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.grouping import materialised
+
 #: Weights of the sources in order, repeating, and each one's schedule, as weights at times 0, 1/2 and 1 before scaling.
 WEIGHTS = (3.0, 1.0, 2.0)
 SCHEDULES = ((2.0, 1.0, 0.5), (0.5, 1.0, 2.0), (1.0, 1.0, 1.0))
@@ -70,13 +73,34 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, schedules: tupl
     each document's part to whole copies. ``position`` is the time of the first copy, between 0 and 1, and ``positions`` has
     that of each.
     """
-    docs = docs.drop("size", "source_size", "target", "taken", "copies", "position", "positions", "limit", "k", "_key", "_part", "_ahead", "_within", "_s", "_p")
-    sized = docs.withColumn("size", n_words(F.col("text").cast("string"))).withColumn("_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = sized.withColumn("_part", F.substring("_key", 1, 3)).withColumn("source", F.col("source").cast("string"))
-    return _placed(sized, weights, schedules, total, most)
+    return _mixed(docs, weights, schedules, total, most).select(F.expr("_doc.*"), *ADDED).select(*[c for c in docs.columns if c not in ADDED], *ADDED)
+
+
+#: The columns that the operator adds.
+ADDED = ("size", "source_size", "target", "taken", "copies", "position", "positions")
+
+
+def _mixed(docs: DataFrame, weights, schedules, total: float, most: float) -> DataFrame:
+    """``mixed`` with the whole row as one column, ``_doc``, so that no name of it can clash with the operator's own."""
+    text, doc_id, source = (F.col(k).cast("string") for k in ("text", "doc_id", "source"))
+    slim = docs.select(F.struct(*[c for c in docs.columns if c not in ADDED]).alias("_doc"), source.alias("source"), n_words(text).alias("size"), _key(doc_id).alias("_key"))
+    return _placed(slim.withColumn("_part", F.substring("_key", 1, 3)), weights, schedules, total, most)
+
+
+def copies_in_order(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, schedules: tuple[tuple[float, float, float], ...] = SCHEDULES, total: float = TOTAL, most: float = MOST) -> DataFrame:
+    """Each document's row as often as the mix takes it, in whole copies, all of its columns as they are; sorted by each copy's position."""
+    text, doc_id, source = (F.col(k).cast("string") for k in ("text", "doc_id", "source"))
+    slim = docs.select(F.struct("*").alias("_doc"), source.alias("source"), n_words(text).alias("size"), _key(doc_id).alias("_key")).withColumn("_part", F.substring("_key", 1, 3))
+    taken = _placed(slim, weights, schedules, total, most).filter("copies > 0")
+    return taken.select("_doc", F.explode(F.slice("positions", F.lit(1), F.col("copies"))).alias("_at")).orderBy("_at").select("_doc.*")
+
+
+def _key(doc_id: Column) -> Column:
+    return F.md5(F.coalesce(doc_id, F.lit("")))
 
 
 def _placed(sized: DataFrame, weights, schedules, total: float, most: float) -> DataFrame:
+    """The rows of (source, size, _key, _part and others) with what the mix makes of them."""
     parts = sized.groupBy("source", "_part").agg(F.sum("size").alias("part_size"))
     ahead = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("_ahead", F.coalesce(F.sum("part_size").over(ahead), F.lit(0)))
@@ -103,14 +127,13 @@ def _placed(sized: DataFrame, weights, schedules, total: float, most: float) ->
 
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    placed = mixed_slim(docs)
-    return placed.orderBy("position").select("doc_id", "size", "source_size", "target", "taken")
+    return mixed_slim(docs).orderBy("position").select("doc_id", "size", "source_size", "target", "taken", "copies", *[F.round(F.col("positions")[i], 9).alias(f"position_{i + 1}") for i in range(2)])
 
 
 def mixed_slim(docs: DataFrame) -> DataFrame:
-    """``mixed`` without the texts, which are then not shuffled."""
+    """``mixed`` without the texts, which are read once for their sizes and not shuffled."""
     slim = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text").cast("string")).alias("size"))
-    slim = slim.withColumn("_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).withColumn("_part", F.substring("_key", 1, 3))
+    slim = materialised(slim, "sizes").withColumn("_key", _key(F.col("doc_id").cast("string"))).withColumn("_part", F.substring("_key", 1, 3))
     return _placed(slim, WEIGHTS, SCHEDULES, TOTAL, MOST)
 
 
@@ -124,11 +147,26 @@ l AS (
   SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5 - coalesce(sum(source_size) OVER (ORDER BY source_size / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE * 2.0)
     / sum(weight) OVER (ORDER BY source_size / weight, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
 ), t AS (
-  SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, cap / weight) FROM l WHERE level * weight <= cap) * weight, cap)) AS target FROM l
+  SELECT source, source_size, k, least(cap, coalesce((SELECT arg_min(level, cap / weight) FROM l WHERE level * weight <= cap) * weight, cap)) AS target FROM l
 ), p AS (
   SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead FROM d
+), x AS (
+  SELECT *, unnest([0, 1]) AS lap FROM (
+    SELECT doc_id, size, t.source_size, target, k, ahead,
+      (greatest(0, least(size, floor(target + 0.5)::BIGINT - ahead)) + greatest(0, least(size, floor(target + 0.5)::BIGINT - t.source_size - ahead)))::BIGINT AS taken
+    FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+  )
+), y AS (
+  SELECT *, CASE WHEN target > 0 THEN (ahead + lap * source_size) / target END AS share,
+    [[2.0, 1.0, 0.5], [0.5, 1.0, 2.0], [1.0, 1.0, 1.0]][k % 3 + 1]::DOUBLE[] AS sch FROM x
+), z AS (SELECT *, (sch[1] + sch[2]) / 4 AS h1, share * ((sch[1] + sch[2]) / 4 + (sch[2] + sch[3]) / 4) AS asked FROM y),
+q AS (
+  SELECT *, asked > h1 AS late, CASE WHEN asked > h1 THEN asked - h1 ELSE asked END AS a,
+    CASE WHEN asked > h1 THEN sch[2] ELSE sch[1] END AS v, CASE WHEN asked > h1 THEN sch[3] - sch[2] ELSE sch[2] - sch[1] END * 2 AS slope FROM z
+), u AS (
+  SELECT *, round(coalesce(CASE WHEN late THEN 0.5::DOUBLE ELSE 0::DOUBLE END + coalesce(2 * a / nullif(v + sqrt(greatest(v * v + 2 * slope * a, 0::DOUBLE)), 0), 0), 0), 9) AS position FROM q
 )
-SELECT doc_id, size, source_size, target,
-  (greatest(0, least(size, floor(target + 0.5)::BIGINT - ahead)) + greatest(0, least(size, floor(target + 0.5)::BIGINT - source_size - ahead)))::BIGINT AS taken
-FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+SELECT doc_id, size, source_size, target, taken, (CASE WHEN size > 0 THEN floor(taken / size + 0.5) ELSE 0 END)::INTEGER AS copies,
+  max(CASE WHEN lap = 0 THEN position END) AS position_1, max(CASE WHEN lap = 1 THEN position END) AS position_2
+FROM u GROUP BY doc_id, size, source_size, target, taken, ahead, k
 """
