@@ -2,7 +2,7 @@
 
 Statistics of the whole text are Spark columns. Shallow boosted trees are grown on a bounded sample of labelled rows;
 every path from a root to a node is a conjunctive rule over statistics; lasso logistic regression gives most rules the
-weight 0; the others are compiled into one Spark column expression, so scoring stays in generated JVM code.
+weight 0 (its penalty is chosen by cross-validation among the rows that may be learnt from); the others are compiled into one Spark column expression, so scoring stays in generated JVM code.
 
 Labels, lang, source and doc_id are never inputs of a score; doc_id only decides which labels may be learnt from.
 
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 #: Labelled rows that the rules are fitted on, at most: those whose ids have the least hashes.
 SAMPLE = 20_000
 TREES, DEPTH, RATE, CUTS, GAPS = 24, 3, 0.3, 64, 24
-PENALTY = 3e-4
+#: Penalties to choose from, and the rounds that each gets for that and in the end.
+PENALTIES, TRIAL_ROUNDS, ROUNDS = (1e-4, 3e-4, 1e-3, 3e-3), 150, 400
 KEEP_FROM = 0.7
 
 
@@ -99,11 +100,11 @@ def _tree(x: np.ndarray, cuts: list[np.ndarray], g: np.ndarray, h: np.ndarray, r
             _tree(x, cuts, g, h, part, depth - 1, out[-1], out, step)
 
 
-def _lasso(z: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 400) -> tuple[float, np.ndarray]:
+def _lasso(z: np.ndarray, y: np.ndarray, penalty: float, rounds: int = ROUNDS) -> tuple[float, np.ndarray]:
     """Accelerated proximal gradient for logistic loss with an L1 penalty on all but the bias."""
     n, k = z.shape
     one = np.concatenate([np.ones((n, 1)), z], axis=1)
-    step = 4.0 / max(np.linalg.norm(one, 2) ** 2 / n, 1e-9)
+    step = 4.0 / max(float(np.linalg.eigvalsh(one.T @ one)[-1]) / n, 1e-9)
     w = v = np.zeros(k + 1)
     t = 1.0
     for _ in range(rounds):
@@ -116,10 +117,15 @@ def _lasso(z: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 400) -> t
     return float(w[0]), w[1:]
 
 
-def fit_rules(x: np.ndarray, y: np.ndarray, names: list[str]) -> Rules:
-    if len(np.unique(y)) < 2:
-        share = (y.sum() + 0.5) / (len(y) + 1)
-        return Rules(float(np.log(share / (1 - share))), ())
+Path = tuple[tuple[int, bool, float], ...]
+
+
+def _holds(x: np.ndarray, paths: list[Path]) -> np.ndarray:
+    return np.stack([np.logical_and.reduce([(x[:, f] > c) == above for f, above, c in path]) for path in paths], axis=1).astype(float)
+
+
+def _paths(x: np.ndarray, y: np.ndarray) -> list[Path]:
+    """The paths of all trees; of those that hold for the same rows the first."""
     cuts = []
     for f in range(x.shape[1]):
         v = np.unique(x[:, f])
@@ -134,11 +140,34 @@ def fit_rules(x: np.ndarray, y: np.ndarray, names: list[str]) -> Rules:
         _tree(x, cuts, p - y, p * (1 - p), np.arange(len(y)), DEPTH, (), paths, step)
         score = score + RATE * step
     paths = list(dict.fromkeys(paths))
-    holds = np.stack([np.logical_and.reduce([(x[:, f] > c) == above for f, above, c in path]) for path in paths], axis=1).astype(float)
-    _, first = np.unique(holds, axis=1, return_index=True)  # rules that hold for the same rows are one
-    first = np.sort(first)
-    bias, weights = _lasso(holds[:, first], y, PENALTY)
-    kept = [(float(w), tuple((names[f], above, float(c)) for f, above, c in paths[i])) for w, i in zip(weights, first.tolist(), strict=True) if abs(w) > 1e-6]
+    if not paths:
+        return []
+    _, first = np.unique(_holds(x, paths), axis=1, return_index=True)
+    return [paths[i] for i in np.sort(first).tolist()]
+
+
+def _penalty(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> float:
+    """The penalty with the least loss on rows of folds that it wasn't fitted on; the larger one of equals."""
+    loss = dict.fromkeys(PENALTIES, 0.0)
+    for f in np.unique(fold).tolist():
+        fit, rest = fold != f, fold == f
+        if len(np.unique(y[fit])) < 2 or not (paths := _paths(x[fit], y[fit])):
+            continue
+        inside, outside = _holds(x[fit], paths), _holds(x[rest], paths)
+        for penalty in PENALTIES:
+            bias, weights = _lasso(inside, y[fit], penalty, TRIAL_ROUNDS)
+            margin = (bias + outside @ weights) * (2 * y[rest] - 1)
+            loss[penalty] += float(np.logaddexp(0, -margin).sum())
+    return min(PENALTIES, key=lambda p: (loss[p], -p))
+
+
+def fit_rules(x: np.ndarray, y: np.ndarray, names: list[str], fold: np.ndarray | None = None) -> Rules:
+    """``fold`` numbers the parts for cross-validation; without it they follow the rows' places."""
+    if len(np.unique(y)) < 2 or not (paths := _paths(x, y)):
+        share = (y.sum() + 0.5) / (len(y) + 1)
+        return Rules(float(np.log(share / (1 - share))), ())
+    bias, weights = _lasso(_holds(x, paths), y, _penalty(x, y, np.arange(len(y)) % 3 if fold is None else fold))
+    kept = [(float(w), tuple((names[f], above, float(c)) for f, above, c in path)) for w, path in zip(weights, paths, strict=True) if abs(w) > 1e-6]
     return Rules(bias, tuple(kept))
 
 
@@ -149,9 +178,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Rules:
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(sample).select("_id", "_y")
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
     stats = statistics(F.col("text"))
-    got = rows.select(F.col("_y").cast("double").alias("y"), "_id", *[c.alias(k) for k, c in stats.items()]).toArrow().sort_by("_id")
+    made = rows.select(F.col("_y").cast("double").alias("y"), "_id", (F.crc32(F.col("_id").cast("string")) % 4).alias("fold"), *[c.alias(k) for k, c in stats.items()])
+    # A doc_id may have many rows: the bound holds for rows, too.
+    got = made.orderBy(F.xxhash64("_id"), "_id", *stats).limit(sample).toArrow()
     x = np.stack([got[k].to_numpy().astype(float) for k in stats], axis=1) if len(got) else np.zeros((0, len(stats)))
-    return fit_rules(x, got["y"].to_numpy().astype(float), list(stats))
+    return fit_rules(x, got["y"].to_numpy().astype(float), list(stats), got["fold"].to_numpy())
 
 
 def scored(docs: DataFrame, rules: Rules) -> DataFrame:
