@@ -129,39 +129,73 @@ def test_url_filter(spark, monkeypatch):
 TALK = [
     (1, 0, "user", "Hello World\nSecond line"), (1, 1, "assistant", "> hello   world\nHi there"),
     (1, 2, "user", "On Mon, X wrote:\n>> Hello world\n> Hi there\n\nThanks\n> unknown"), (1, 3, "a", "plain"), (1, 4, "a", "> Second Line\n> thanks\nok"),
-    (None, 0, "u", None), (None, 5, "u", "> x\ny"), (2, 1, "a", "> Hello World"), (3, None, "a", "no turn"), (3, 1, "a", ""), (3, 1, "b", "> no turn\nz"),
+    (1, 5, "b", "> thanks\nfine"), (None, 0, "u", None), (None, 5, "u", "> x\ny"), (2, 1, "a", "> Hello World"), (3, None, "a", "no turn"), (3, 1, "a", ""), (3, 1, "b", "> no turn\nz"),
+    (4, 1, "a", "same words"), (4, 2, "a", "equal rows"), (4, 2, "a", "equal rows"), (4, 3, "b", "> same words\n>> none of it\nyes " + "long " * 30_000),
 ]
 
 
 def test_quote_links(spark):
-    df = spark.createDataFrame([(*r, 1) for r in TALK], "conv_id long, turn long, role string, text string, position int")
-    got = {(r["conv_id"], r["turn"], r["role"]): (r["position"], r["reply_to"], r["by_quote"], r["levels"], r["text"]) for r in quote_links.linked(df).collect()}
+    df = spark.createDataFrame([(*r, 1, 2) for r in TALK], "conv_id long, turn long, role string, text string, position int, before int")
+    got = sorted(((r["conv_id"], r["turn"], r["role"], r["position"], r["reply_to"], r["by_quote"], r["levels"], r["n_quoted"], r["n_found"], r["text"]) for r in quote_links.linked(df).collect()), key=repr)
+    assert got == sorted([
+        (1, 0, "user", 0, None, False, 0, 0, 0, "Hello World\nSecond line"), (1, 1, "assistant", 1, 0, True, 1, 1, 1, "Hi there"), (1, 2, "user", 2, 1, True, 2, 3, 2, "Thanks"),
+        (1, 3, "a", 3, 2, False, 0, 0, 0, "plain"), (1, 4, "a", 5, 0, True, 1, 2, 1, "ok"), (1, 5, "b", 4, 2, True, 1, 1, 1, "fine"),
+        (None, 0, "u", 0, None, False, 0, 0, 0, ""), (None, 5, "u", 1, 0, False, 1, 1, 0, "y"),
+        (2, 1, "a", 0, None, False, 1, 1, 0, ""), (3, None, "a", 0, None, False, 0, 0, 0, "no turn"), (3, 1, "a", 1, None, False, 0, 0, 0, ""), (3, 1, "b", 2, 1, False, 1, 1, 0, "z"),
+        (4, 1, "a", 0, None, False, 0, 0, 0, "same words"), (4, 2, "a", 1, 1, False, 0, 0, 0, "equal rows"), (4, 2, "a", 2, 2, False, 0, 0, 0, "equal rows"),
+        (4, 3, "b", 3, 1, True, 2, 2, 1, ("yes " + "long " * 30_000).rstrip()),
+    ], key=repr)
+    assert quote_links.linked(df.limit(0)).collect() == []
+
+
+def test_passages():
+    lines = quote_links.levels_of("On Mon, X wrote:\r\n> A  b\n> c\n>\n>> d e\n> f\nown\n\nOther  one")
+    assert [level for level, _ in lines] == [-1, 1, 1, 1, 2, 1, 0, 0, 0]
+    got = {(level, text): at for level, text, at in quote_links.passages(lines)}
     assert got == {
-        (1, 0, "user"): (0, None, False, 0, "Hello World\nSecond line"), (1, 1, "assistant"): (1, 0, True, 1, "Hi there"), (1, 2, "user"): (2, 1, True, 2, "Thanks"),
-        (1, 3, "a"): (3, 2, False, 0, "plain"), (1, 4, "a"): (4, 2, True, 1, "ok"), (None, 0, "u"): (0, None, False, 0, ""), (None, 5, "u"): (1, 0, False, 1, "y"),
-        (2, 1, "a"): (0, None, False, 1, ""), (3, None, "a"): (0, None, False, 0, "no turn"), (3, 1, "a"): (1, None, False, 0, ""), (3, 1, "b"): (2, 1, False, 1, "z"),
+        (1, "a b c"): [1, 2], (1, "a b"): [1], (2, "d e"): [4], (1, "f"): [5], (1, "a b c f"): [1, 2, 5],
+        (0, "own other one"): [6, 8], (0, "own"): [6], (0, "other one"): [8],
     }
-    assert quote_links.linked(df.limit(0)).collect() == []
 
 
-def test_quote_links_over_partitions_and_blocks(spark, monkeypatch):
-    monkeypatch.setattr(quote_links, "TURNS", 4)
-    rng = np.random.default_rng(3)
-    rows = []
-    for turn in range(120):
-        lines = [f"line {rng.integers(0, 30)}"] + [f"> line {rng.integers(0, 30)}" for _ in range(int(rng.integers(0, 3)))]
-        rows.append((7, turn, "u", "\n".join(lines)))
-    got = {r["turn"]: (r["position"], r["reply_to"]) for r in quote_links.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
-    own = {}
-    for _, turn, _, text in rows:
+def brute_links(rows):
+    """Parents by votes, and the reply order by a walk through the tree, of one conversation (turn, text), turns all different."""
+    units = [[(level, text) for level, text, _ in quote_links.passages(quote_links.levels_of(t))] for _, t in rows]
+    parent = []
+    for i in range(len(rows)):
         votes = {}
-        for q in [x[2:] for x in text.split("\n") if x.startswith("> ")]:
-            earlier = [u for u in own.get(q, []) if u < turn]
-            if earlier:
-                votes[earlier[-1]] = votes.get(earlier[-1], 0) + 1
-        want = max(votes, key=lambda s: (votes[s], s)) if votes else (turn - 1 if turn else None)
-        assert got[turn] == (turn, want)
-        own.setdefault(text.split("\n")[0], []).append(turn)
+        for level, text in units[i]:
+            at = max((j for j in range(i) if level and (level - 1, text) in units[j]), default=None)
+            if at is not None:
+                votes[at] = votes.get(at, 0) + len(text.split())
+        parent.append(max(votes, key=lambda j: (votes[j], j)) if votes else i - 1)
+    order, stack = [], [0]
+    while stack:
+        i = stack.pop()
+        order.append(i)
+        stack += [j for j in range(len(rows) - 1, i, -1) if parent[j] == i]
+    return parent, order
+
+
+@pytest.mark.parametrize("seed, quotes", [(3, 3), (4, 2), (5, 5)])
+def test_quote_links_against_a_walk_through_the_tree(spark, monkeypatch, seed, quotes):
+    monkeypatch.setattr(quote_links, "TURNS", 4)
+    rng = np.random.default_rng(seed)
+    talks = {}
+    for conv in (7, 8):
+        talks[conv] = []
+        for turn in range(110):
+            lines = [f"line {rng.integers(0, 40)}"] + [">" * int(rng.integers(1, 3)) + f" line {rng.integers(0, 40)}" for _ in range(int(rng.integers(0, quotes)))]
+            talks[conv].append((turn * 3, "\n".join(lines)))
+    df = spark.createDataFrame([(c, t, "u", x) for c, rows in talks.items() for t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["position"], r["reply_to"]) for r in quote_links.linked(df).collect()}
+    moved = 0
+    for conv, rows in talks.items():
+        parent, order = brute_links(rows)
+        place = {i: n for n, i in enumerate(order)}
+        moved += sum(place[i] != i for i in place)
+        assert got | {(conv, t): (place[i], rows[parent[i]][0] if i else None) for i, (t, _) in enumerate(rows)} == got
+    assert moved > 20
 
 
 def test_components(spark):
