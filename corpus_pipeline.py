@@ -2,19 +2,25 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before it kept. All but the last return the
 columns of documents.
+
+Defined results: a null text counts as an empty one; the classifier scores an empty text like any other and the mix takes
+nothing of a text without words; rows with a null doc_id are judged one by one and never grouped; equal rows and rows with
+one doc_id each stay a row, except that the Jaccard stage keeps, of a group of near copies, the rows with its smallest id;
+columns beside those of documents pass through unchanged, whatever they are called; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import without_contaminated
 from tidemark.llm.grouping import materialised
 from tidemark.llm.jaccard_join import jaccard_components
-from tidemark.llm.mixture import mixed
+from tidemark.llm.mixture import copies_in_order
 from tidemark.llm.quality_rules import learn, scored
 from tidemark.llm.token_files import token_digest
 
@@ -22,7 +28,8 @@ from tidemark.llm.token_files import token_digest
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
     rules = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored(docs, rules).filter("predicted = 1").select(*docs.columns)
+    whole = docs.select(F.struct("*").alias("_doc"), "doc_id", "text")
+    return scored(whole, rules).filter("predicted = 1").select("_doc.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,13 +46,21 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, in whole copies, sorted by each copy's position in the curriculum."""
-    taken = mixed(docs).filter("copies > 0")
-    return taken.withColumn("_at", F.explode(F.slice("positions", F.lit(1), F.col("copies")))).orderBy("_at").select(*docs.columns)
+    return copies_in_order(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token files of the mix, digested by document."""
-    return token_digest(docs)
+    """The token files of the mix in its order, each copy at its place, digested by copy.
+
+    The mix was written range-sorted by position: its files' names and the rows in them give that order. Rows that come
+    from elsewhere have none, and stand by doc_id.
+    """
+    name = F.col("_metadata.file_name")
+    try:
+        placed = docs.select("doc_id", "text", F.length(name).alias("_long"), name.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return token_digest(docs)
+    return token_digest(placed, order=("_long", "_file", "_row"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
