@@ -86,7 +86,31 @@ def test_topk_search(spark, monkeypatch):
 def test_topk_search_of_large_numbers():
     q, x = np.array([[2**40], [3]]), np.array([[2**20, 2**20 + 1, 5], [1, 2, 3]])
     got = topk_search.search(np.array([0]), q, np.array([1, 2, 3]), x, 2)
-    assert got == [(0, 2, 2**40 * (2**20 + 1) + 6), (0, 1, 2**60 + 3)]
+    assert got == [(0, 0, 2, 2**40 * (2**20 + 1) + 6), (0, 0, 1, 2**60 + 3)]
+
+
+def test_topk_search_passes_cells_over():
+    rng = np.random.default_rng(2)
+    x = rng.integers(-50, 50, (8, 60))
+    floors = np.array([1e6, -np.inf])
+    got = topk_search.search(np.array([1000, 1001]), x[:, :2].copy(), np.arange(60), x, 3, floors)
+    assert {r[0] for r in got} == {1} and floors[0] == 1e6 and floors[1] == got[-1][3]
+    assert [r[3] for r in got] == sorted((x[:, 1] @ x).tolist(), reverse=True)[:3]
+
+
+def test_topk_search_of_repeated_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "CELL", 7)
+    monkeypatch.setattr(topk_search, "QUERIES", 2)
+    rows = [(i % 21, [0.25 * (i % 3), -0.5, 1.0 + i % 5]) for i in range(63)] + [(20, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk_search.top_k(df, k=4).collect())
+    whole = [(i, [math.floor(64 * c) for c in v]) for i, v in rows]
+    want = []
+    for q in (0, 20):
+        mine = {tuple(v) for i, v in whole if i == q}
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for v in mine for i, w in whole if i != q)
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:4])]
+    assert got == want
 
 
 HOSTS = ["", "org", "example.org", "a.example.org", "org.", "com", "x.com", "example.org.com", "xexample.org", "user@example.org", "example.org:80"]
