@@ -39,8 +39,9 @@ BLOCK = 256
 PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 18
 END_ID = 1
-#: Bytes, about, of the words whose ids an encoder remembers; when they take more it starts anew.
-REMEMBERED = 48_000_000
+#: Bytes, about, of the words whose ids an encoder remembers, in two halves: when the newer one is full it becomes the
+#: older one, whose words are taken over when they come again.
+REMEMBERED = 96_000_000
 #: What a remembered word takes besides its own bytes: its object, its place in the table and its bounds; about.
 _ENTRY = 160
 _LANES = 64
@@ -151,14 +152,15 @@ class Encoder:
         if [k["type"] for k in normal] == ["NFC", "Replace", "Lowercase"] and normal[1]["pattern"].get("Regex") == r"\s+" and normal[1]["content"] == " ":
             if [k["type"] for k in kinds] == ["Split", "ByteLevel"] and kinds[0]["pattern"].get("Regex") == PIECE:
                 self.split = regex.compile(PIECE).findall
-        self._forget()
+        self.older: tuple[dict[bytes, int], np.ndarray, np.ndarray] = ({}, np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        self.pieces: dict[str, list[int]] = {}
+        self._begin()
 
-    def _forget(self) -> None:
+    def _begin(self) -> None:
         self.known: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 20, dtype=np.uint32)
         self.bounds = np.zeros(1 << 18, dtype=np.int64)
         self.n = self.size = 0
-        self.pieces: dict[str, list[int]] = {}
 
     def _add(self, words: list[bytes], ids: list[list[int]]) -> None:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -174,30 +176,40 @@ class Encoder:
         self.n = end
         self.size += sum(map(len, words)) + _ENTRY * len(words)
 
+    def _ids(self, piece: str) -> list[int]:
+        raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_SIGNS)
+        return [x.id for x in self.tokenizer.model.tokenize(raw)]
+
     def _piece(self, piece: str) -> list[int]:
+        """The ids of a part of a word; words that are one piece are remembered as words."""
         got = self.pieces.get(piece)
         if got is None:
-            raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_SIGNS)
-            got = self.pieces[piece] = [x.id for x in self.tokenizer.model.tokenize(raw)]
+            got = self.pieces[piece] = self._ids(piece)
         return got
 
     def _learn(self, words: list[bytes]) -> None:
         """Remembers the ids of new words. Latin-1 words are normal as they are, and the library's model takes their pieces."""
-        if len(self.pieces) * 2 * _ENTRY > REMEMBERED:
+        if len(self.pieces) * 8 * _ENTRY > REMEMBERED:
             self.pieces.clear()
         plain, other, ids, piece = [], [], [], self._piece
+        held, held_ids, bounds = self.older
         for w in words:
+            at = held.get(w)
+            if at is not None:
+                plain.append(w)
+                ids.append(held_ids[bounds[at] : bounds[at + 1]].tolist())
+                continue
             text = w.decode()
             if w.isalpha():  # ASCII letters
                 plain.append(w)
-                ids.append(piece(text.lower()))
+                ids.append(self._ids(text.lower()))
             elif w[:-1].isalpha() and w[-1:] in b",.!":
                 plain.append(w)
                 ids.append(piece(text[:-1].lower()) + piece(text[-1]))
             elif max(text) < _BEYOND and text.isprintable() and "<|" not in text:
                 plain.append(w)
                 text = text.lower()
-                ids.append(piece(text) if text.isalpha() else list(chain.from_iterable(map(piece, self.split(text)))))
+                ids.append(self._ids(text) if text.isalpha() else list(chain.from_iterable(map(piece, self.split(text)))))
             else:
                 other.append(w)
         self._add(plain, ids)
@@ -222,8 +234,9 @@ class Encoder:
             mine = text.split()
             words += mine
             counts[i] = len(mine)
-        if self.size > REMEMBERED:
-            self._forget()
+        if self.size > REMEMBERED // 2:
+            self.older = (self.known, self.ids[: self.bounds[self.n]].copy(), self.bounds[: self.n + 1].copy())
+            self._begin()
         index = list(map(self.known.get, words))
         new = [i for i, k in enumerate(index) if k is None]
         if new:
