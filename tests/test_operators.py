@@ -56,7 +56,7 @@ def test_places(spark):
     assert one(spark, text.place_reasons("c"), c="ab, c, 9") == "contains_number,multiple_commas"
     assert one(spark, text.place_quality("c"), c="x") == "review"
     v = text.with_query_variants(spark.createDataFrame([("Baku city (Old)", "AZ")], "p string, c string"), "p", "c").first()["variants"]
-    assert [x["query"] for x in v] == ["Baku city (Old), AZ", "Baku city, AZ", "Baku, AZ"]
+    assert [x["query"] for x in v] == ["Baku city (Old), AZ", "Baku (Old), AZ", "Baku city, AZ", "Baku, AZ", "Old, AZ"]
 
 
 def test_text_shapes(spark):
@@ -67,7 +67,7 @@ def test_text_shapes(spark):
     assert one(spark, text.redirect_target("c"), c="//d.com/l/?uddg=https%3A%2F%2Fx.org%2Fa&r=1") == "https://x.org/a"
     assert one(spark, text.distinct_terms("c"), c=["Ab", "rain", "RAIN", "wind"]) == ["rain", "wind"]
     assert one(spark, text.list_text("c"), c="['a', \"b\"|c]") == ["a", "b", "c"]
-    assert one(spark, text.source_family("c"), c="Google News (FloodList)") == "FloodList"
+    assert one(spark, news.source_family("c"), c="Google News (FloodList)") == "FloodList"
 
 
 def test_dates(spark):
@@ -133,7 +133,7 @@ def test_chain_status(spark, chain, want):
 
 def test_parsed_answers(spark):
     full = '```json {"causal_chain": [{"type_event": "flood", "description": "d", "supporting_quote": "q"}, {"type_event": "", "description": "d", "supporting_quote": "q"}]} ```'
-    cases = {full: ("parsed_with_dropped_items", 1), "nothing": ("invalid_json", 0), '{"a": 1}': ("missing_causal_chain", 0), '{"causal_chain": []}': ("empty_chain", 0)}
+    cases = {full: ("parsed_with_dropped_items", 1), "nothing": ("invalid_json", 0), '{"causal_chain": [1, {"type_event": "flood", "description": "d", "supporting_quote": "q"}, "x", null]}': ("parsed_with_dropped_items", 1), '{"causal_chain": {}}': ("missing_causal_chain", 0), "{broken": ("invalid_json", 0), "{broken}": ("invalid_json", 0), '{"a": 1}': ("missing_causal_chain", 0), '{"causal_chain": []}': ("empty_chain", 0)}
     df = spark.createDataFrame([(k,) for k in cases], "c string").select("c", reasoning.parsed_chain("c").alias("v"))
     assert {r["c"]: (r["v"]["status"], len(r["v"]["chain"])) for r in df.collect()} == cases
 
@@ -145,11 +145,37 @@ def test_summary_status(spark):
     assert f("INSUFFICIENT_INFORMATION", "skipped_insufficient_news") == "not_called_insufficient_news"
 
 
+def test_stored_chains(spark):
+    step = '{"type_event": "flood", "description": "d", "supporting_quote": "q"}'
+    cases = {f"[{step}, 3]": 1, '{"causal_chain": [' + step + "," + step + "]}": 2, "": 0, "[": 0, "{}": 0, None: 0}
+    df = spark.createDataFrame([(k,) for k in cases], "c string").select("c", reasoning.lenient_chain("c").alias("v"))
+    assert {r["c"]: len(r["v"]) for r in df.collect()} == cases
+
+
+def test_cleaned_summaries(spark):
+    cases = {"```text\nSummary: It rained.\n```": "It rained.", "summary : x": "x", "```": "INSUFFICIENT_INFORMATION", " a  b ": "a b", "nan": "INSUFFICIENT_INFORMATION", None: "INSUFFICIENT_INFORMATION"}
+    df = spark.createDataFrame([(k,) for k in cases], "c string").select("c", reasoning.cleaned_summary("c").alias("v"))
+    assert {r["c"]: r["v"] for r in df.collect()} == cases
+
+
+def test_steps_without_support_go(spark):
+    news_text = ["Heavy rain fell on the northern hills on Monday. Two bridges collapsed."]
+    quotes = {"a": ["Two bridges collapsed", "nothing like it at all here"], "b": ["heavy rains fell on the northern hill"], "c": ["entirely made up words"], "d": []}
+    rows = [(k, [(i + 1, "Flood", "d", q) for i, q in enumerate(qs)], "parsed", news_text) for k, qs in quotes.items()]
+    df = spark.createDataFrame(rows, "k string, chain array<struct<n_event:int,type_event:string,description:string,supporting_quote:string>>, status string, texts array<string>")
+    got = {r["k"]: ([x["n_event"] for x in r["chain"]], r["status"], r["dropped_quotes"], r["fuzzy_quotes"]) for r in reasoning.with_supported_steps(df, "chain", "status", "texts").collect()}
+    assert got == {"a": ([1], "parsed_with_dropped_unsupported_quotes", 1, 0), "b": ([1], "parsed", 0, 1), "c": ([], "empty_chain_after_quote_validation", 1, 0), "d": ([], "parsed", 0, 0)}
+
+
 def test_quotes():
     assert reasoning.quote_ratio("The river rose", ["x The river rose y"]) == 1.0
     assert reasoning.quote_ratio("THE RIVER ROSE!", ["... the river, rose"]) == 1.0
     assert reasoning.quote_ratio("a river", ["b"]) < 0.8 and reasoning.quote_ratio("", ["b"]) == 0.0
-    assert reasoning.ordered_coverage("one two three four five", "one two three four five") == 0.0
+    assert reasoning.words_in_order("one two three four five", "one two three four five") == 0.0
+    assert reasoning.words_in_order("a b c d e f", "x a b y c d z e f") == 1.0 and reasoning.words_in_order("a b c d e f", "a b c") == 0.5
+    assert reasoning.quote_ratio("Flooded!", ["the town was flooded here"]) == 0.0  # a key under ten signs
+    assert reasoning.quote_ratio("flooded here", ["flooded  here"]) == 1.0 and reasoning.best_window("abcdefghij", "abcdefghij") == 1.0
+    assert reasoning.best_window("heavy rains fell", "heavy") == 2 * 5 / 21
     assert reasoning.quote_ratio("heavy rain fell on the northern hills", ["heavy rains fell on the northern hill"]) >= 0.8
 
 
@@ -178,6 +204,49 @@ def test_relevance(spark):
     assert one(spark, news.source_threshold("s", F.lit("low")), s="DuckDuckGo") == 8 and one(spark, news.source_threshold("s", F.lit("x")), s="ReliefWeb Disasters") == 4
 
 
+def test_local_hazard_words_and_misspelt_terms(spark):
+    arr = lambda *v: F.array(*map(F.lit, v)) if v else F.array().cast("array<string>")
+    def reasons(title, body, local):
+        r = one(spark, news.relevance(F.col("t"), F.col("b"), arr("Italy"), arr("flood"), arr("Springfield"), arr(), F.lit("2019-05-04").cast("date"), F.lit(None).cast("string"), local=arr(*local)), t=title, b=body)
+        return set(r["reasons"]) | set(r["penalties"])
+    assert reasons("Alluvione a Roma", "", ["alluvione"]) == {"hazard_in_title", "missing_local_or_event_context"}  # in Latin letters it counts as an ordinary one
+    assert reasons("洪水 a Roma", "", ["洪水"]) == {"local_hazard_in_title", "missing_local_or_event_context"}
+    assert reasons("In springfeld", "洪 水, floods", ["洪水"]) == {"hazard_in_text", "local_place_in_title"}
+    assert reasons("x", "洪 水", ["洪水"]) >= {"local_hazard_in_text"} and "missing_hazard_term" in reasons("x", "y", [])
+
+
+@pytest.mark.parametrize("source, score, reasons, penalties, listed, want", [
+    ("BBC", 9, [], ["missing_hazard_term"], False, "high"), ("BBC", 6, [], [], False, "medium"), ("BBC", 9, [], ["generic_title"], False, "low"),
+    ("Wikipedia", 8, [], [], False, "medium"), ("Wikipedia", 8, ["event_name_in_text"], ["missing_hazard_term"], False, "high"), ("DuckDuckGo", 20, ["event_name_in_text"], ["generic_title"], False, "low"),
+    ("ReliefWeb Updates", 7, [], ["missing_hazard_term"], False, "high"), ("ReliefWeb", 7, [], ["generic_title"], False, "medium"), ("GDACS", 5, [], [], False, "medium"),
+    ("BBC", 9, ["local_place_in_title"], [], False, "high"), ("ReliefWeb", 20, ["local_place_in_title"], [], True, "low"),
+])
+def test_confidence(spark, source, score, reasons, penalties, listed, want):
+    got = news.confidence("s", F.col("n"), F.lit(5), F.col("r"), F.col("p"), F.lit(listed))
+    df = spark.createDataFrame([(source, score, reasons, penalties)], "s string, n int, r array<string>, p array<string>")
+    assert df.select(got).first()[0] == want
+
+
+def test_source_priorities(spark):
+    cases = {"Google News (BBC)": ("BBC", 30), "Google News (FloodList)": ("FloodList", 30), "ReliefWeb Africa": ("ReliefWeb", 95), "BBC": ("BBC", 50), "Google News Local": ("Google News", 30), "": ("", 50)}
+    df = spark.createDataFrame([(k,) for k in cases], "s string").select("s", news.source_family("s").alias("f"), news.source_priority("s").alias("p"))
+    assert {r["s"]: (r["f"], r["p"]) for r in df.collect()} == cases
+
+
+def test_text_status(spark):
+    page = "word " * 200
+    cases = [
+        (("fetched_full_text", "http://a", None, "", "", "", ""), "fetched_full_text"), (("", "ftp://a", None, "", "", "", ""), "skipped"), (("", "http://a.PDF", None, "", "", "", ""), "skipped"),
+        (("", "https://news.google.com/rss/articles/x", None, "", "", "", ""), "skipped_google_news_redirect"), (("", "http://a", None, "", "", "", ""), "fetch_failed"),
+        (("", "http://a", "<p>Before you Continue", "http://a", "text/html", "", ""), "blocked_or_consent_page"), (("", "http://a", "x", "http://consent.google.com/", "text/html", page, ""), "blocked_or_consent_page"),
+        (("", "http://a", "x", "http://a", "image/png", page, ""), "unsupported_content_type"), (("", "http://a", "x", "http://a", "text/html", "short", ""), "kept_original"),
+        (("", "http://a", "x", "http://a", "Text/HTML", page, page + page), "kept_original"), (("", "http://a", "x", "http://a", "text/html", page, "old"), "fetched_full_text"),
+    ]
+    df = spark.createDataFrame([(i, *c) for i, (c, _) in enumerate(cases)], "i int, s string, u string, f string, fu string, ct string, t string, h string")
+    got = news.text_status("s", "u", F.lit(False), F.col("f"), "fu", "ct", F.col("t"), F.col("h"))
+    assert [r[0] for r in df.orderBy("i").select(got).collect()] == [w for _, w in cases]
+
+
 def test_repeats_follow_what_stayed(spark):
     rows = [(1, 1, "u1", "A"), (1, 2, "u1/", "B"), (1, 3, "u2", "b"), (1, 4, "u3", " a "), (1, 5, "", "C"), (1, 6, "", "D"), (2, 7, "u1", "A")]
     df = spark.createDataFrame(rows, "e int, o int, u string, t string")
@@ -188,7 +257,48 @@ def test_direct_sources_win(spark):
     rows = [(1, 1, "Google News (FloodList)", "x", "g", "low", 1), (1, 2, "FloodList", "y", "f", "low", 1), (1, 3, "Wikipedia", "Y", "w", "high", 9), (1, 4, "Other", "z", "o", "low", 0)]
     df = spark.createDataFrame(rows, "e int, o int, source string, title string, url string, confidence string, relevance_score int")
     assert sorted(r["o"] for r in news.prefer_direct(df, "e", "o").collect()) == [2, 4]
+    rows = [(1, 1, "Wikipedia", "Flood in town - BBC", "w", "low", 1), (1, 2, "GDACS", "Flood in TOWN | Times", "g", "low", 1), (1, 3, "Other", "flood in town", "z", "high", 9), (1, 4, "Other", "q", "G/", "low", 0), (1, 5, "Other", "w2", "w", "low", 0)]
+    got = {r["o"]: (r["deduplicated_from"], r["deduplicated_sources"]) for r in news.prefer_direct(spark.createDataFrame(rows, df.schema), "e", "o").collect()}
+    assert got == {2: ("Wikipedia", ["Other", "Other", "Other"])}
+
+
+def test_long_chains_of_repeats(spark):
+    rows = [(1, i, f"u{i // 2}", f"t{(i + 1) // 2}") for i in range(8)]
+    assert sorted(r["o"] for r in news.drop_repeats(spark.createDataFrame(rows, "e int, o int, u string, t string"), "e", "u", "t", "o").collect()) == [0, 2, 4, 6]
+
+
+PLACES = {
+    "Kindi, Bana and Suru provinces": ["Kindi province", "Bana province", "Suru province"], "near the town of Ola area": [], "A in B": ["A", "B"],
+    "Ala and Bela islands (Cora province)": ["Ala island", "Bela island", "Cora province", "Cora"], "Ala district, the Bela": ["Ala district", "Ala", "Bela"], "One": [],
+}
+
+
+def test_places_that_are_several(spark):
+    df = spark.createDataFrame([(k,) for k in PLACES], "c string").select("c", text.composite_parts("c").alias("v"))
+    assert {r["c"]: r["v"] for r in df.collect()} == PLACES
+
+
+def test_queries_of_a_place(spark):
+    df = spark.createDataFrame([("Ala prov. / Bela isl., Viet Nam", "Ala province/ Bela", "Viet Nam")], "q string, p string, c string")
+    got = [tuple(x) for x in df.select(text.query_variants("q", "p", "c")).first()[0]]
+    assert got[0] == ("original", "Ala prov. / Bela isl., Viet Nam") and got[1:5] == [
+        ("place_country", "Ala province/ Bela, Viet Nam"), ("without_admin_qualifier", "Ala / Bela, Viet Nam"), ("place_country", "Ala province/ Bela, Vietnam"), ("without_admin_qualifier", "Ala / Bela, Vietnam"),
+    ]
+    assert ("place_country", "Bela, Vietnam") in got and len({q for _, q in got}) == len(got)
+
+
+def test_country_queries_and_small_boxes(spark):
+    assert one(spark, geocoding.country_only("c", F.lit("Côte d’Ivoire"), F.lit("nan")), c="côte d'ivoire") is True and one(spark, geocoding.country_only("c", F.lit("Italy"), F.lit("Rome")), c="Italy") is False
+    f = lambda q, w, h: one(spark, geocoding.small_area_box("c", F.lit(w), F.lit(h)), c=q)
+    assert f("Kindi Province, X", "0.01", "0.04") is True and f("Kindi", "0.01", "0.01") is False and f("Kindi Province", "0.01", "0.05") is False and f("Kindi Province", None, "0.01") is False
+
 
+def test_texts_of_a_page(spark):
+    long = "Long enough text, one of more than fifty characters &amp; so."
+    pages = {f"<article>{long}<br>x</article>": [long.replace("&amp;", "&") + " x"], f"<div>{long}</div><p>short</p>": [], f"<div>{long}</div>": [long.replace("&amp;", "&")],
+             f"<main>{long}</main><nav><p>{long}</p></nav><article>short</article>": [long.replace("&amp;", "&")], None: []}
+    df = spark.createDataFrame([(k,) for k in pages], "c string").select("c", text.main_chunks("c").alias("v"))
+    assert {r["c"]: r["v"] for r in df.collect()} == pages
 
 def test_review_rules(spark):
     f = lambda t, small=False, country=False: one(spark, geocoding.review_decision(F.lit(1.0), F.lit(2.0), F.col("t"), F.lit(country), F.lit(small)), t=t)

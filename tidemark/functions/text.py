@@ -6,6 +6,7 @@ normalisation are Arrow-batched functions, the rest built-in expressions.
 
 from __future__ import annotations
 
+import html
 import re
 import unicodedata
 from collections.abc import Callable
@@ -68,7 +69,8 @@ def _entity_key(text: str) -> str:
     return " ".join(w for w in _ascii_key(text).split() if w not in PLACE_WORDS)
 
 
-def _multilingual_key(text: str) -> str:
+def multilingual(text: str) -> str:
+    """Compatibility forms and cases are one, joiners go."""
     text = unicodedata.normalize("NFKC", text).casefold().replace("‌", "").replace("‍", "")
     return " ".join(text.split())
 
@@ -82,7 +84,7 @@ folded_key = _by_value(_folded_key, _TEXT)
 ascii_key = _by_value(_ascii_key, _TEXT)
 word_key = _by_value(_word_key, _TEXT)
 entity_key = _by_value(_entity_key, _TEXT)
-multilingual_key = _by_value(_multilingual_key, _TEXT)
+multilingual_key = _by_value(multilingual, _TEXT)
 term_key = _by_value(_term_key, _TEXT)
 strip_accents = _by_value(fold, _TEXT)
 
@@ -98,7 +100,20 @@ def compact_key(c: Column | str) -> Column:
 
 def title_key(c: Column | str) -> Column:
     """A title's key without markup and without a trailing `` - Outlet`` or `` | Outlet`` of 3 to 60 characters."""
-    return ascii_key(F.regexp_replace(collapse(strip_tags(c)), r"\s+[-|–—]\s+[^-|–—]{3,60}$", ""))
+    return plain_key(F.regexp_replace(F.trim(strip_tags(c)), r"\s*[-|]\s*[^-|]{3,60}$", ""))
+
+
+#: Words that an entity's key leaves out.
+ENTITY_STOPS = (
+    "the", "a", "an", "of", "and", "or", "in", "on", "at", "to", "for", "state", "province", "district", "region", "city", "area", "areas",
+    "department", "county", "municipality", "island", "islands",
+)
+
+
+def event_key(c: Column | str) -> Column:
+    """Lower-case words of a-z and 0-9 without articles, prepositions and units."""
+    words = F.split(plain_key(c), " ")
+    return F.array_join(F.filter(words, lambda w: ~w.isin(*ENTITY_STOPS)), " ")
 
 
 def hash12(c: Column | str) -> Column:
@@ -216,48 +231,158 @@ def _name_variants(text: str) -> list[str]:
     return list(dict.fromkeys(k for k in map(_word_key, [text, *re.split(r"[/|;]", text)]) if k))
 
 
+#: What is put for a phrase around a place's name, in this order; cases are one.
+CONTEXT = (
+    (r"^\s*and\s+", ""), (r"^\s*near\s+", ""), (r"^\s*north\s+of\s+(?:the\s+)?", ""), (r"^\s*(?:the\s+)?town\s+of\s+", ""),
+    (r"\s+in\s+the\s+(?:north|south|east|west)$", ""), (r"\s+(?:area|areas)$", ""),
+)
+#: Words for a kind of unit.
+UNITS = (
+    "autonomous region", "capital city area", "capital city", "city area", "city", "counties", "county", "departments", "department", "districts",
+    "district", "governorates", "governorate", "municipalities", "municipality", "muncipalities", "muncipality", "prefecture", "provinces", "province",
+    r"prov\.", "regencies", "regency", "regions", "region", "states", "state", "territory", "islands", "island", r"isl\.", "town", "villages", "village",
+)
+#: Units that a list may share, each with its singular; the last has none.
+SHARED_UNITS = {
+    "departments": "department", "districts": "district", "governorates": "governorate", "islands": "island", "provinces": "province",
+    "regencies": "regency", "regions": "region", "states": "state", "villages": "village", "counties": "",
+}
+_UNIT = re.compile(rf"\b(?:{'|'.join(UNITS)})\b\.?", re.I)
+_SHARED = re.compile(rf"(?P<body>.+?)\s+(?P<unit>{'|'.join(SHARED_UNITS)})", re.I)
+_PAIR = re.compile(rf"(?P<left>.+?)\s+and\s+(?P<right>.+?)\s+(?P<unit>{'|'.join(SHARED_UNITS)})", re.I)
+
+
+def _one_space(text: str) -> str:
+    return " ".join(text.split())
+
+
+def without_context(text: str) -> str:
+    text = _one_space(text)
+    for pattern, put in CONTEXT:
+        text = re.sub(pattern, put, text, flags=re.I)
+    return _one_space(text)
+
+
+def _bare_place(text: str) -> str:
+    return without_context(re.sub(r"\s*\([^()]+\)\s*", " ", text))
+
+
+def _pieces(text: str, at: str) -> list[str]:
+    """The parts between separators, without a leading article."""
+    parts = (_one_space(re.sub(r"^\s*the\s+", "", x, flags=re.I)) for x in re.split(at, text))
+    return [x for x in parts if x]
+
+
+def _short(parts: list[str], most: int, words: int = 5) -> list[str]:
+    return parts if 2 <= len(parts) <= most and all(len(x.split()) <= words for x in parts) else []
+
+
+_COMMAS = r"\s*,\s*|\s+\band\b\s+"
+
+
 def _list_parts(text: str) -> list[str]:
-    """``A, B and C`` of 2 to 5 parts, each of 5 words at most."""
-    parts = [p.strip() for p in re.split(r"\s*,\s*(?:and\s+)?|\s+and\s+", text) if p.strip()]
-    return parts if 2 <= len(parts) <= 5 and all(len(p.split()) <= 5 for p in parts) else []
+    """``A, B and C`` of 2 to 5 parts, else ``A in B``; each part of 5 words at most."""
+    bare = _bare_place(text)
+    return _short(_pieces(bare, _COMMAS), 5) or _short(_pieces(bare, r"\s+\bin\b\s+"), 2)
+
+
+def _unique(parts: list[str]) -> list[str]:
+    return [x for x in dict.fromkeys(map(without_context, parts)) if x]
+
+
+def _shared_unit(text: str) -> list[str]:
+    """``A, B and C provinces``: 2 to 6 parts, each with the unit in the singular if it has none of its own."""
+    m = _SHARED.fullmatch(_bare_place(text))
+    unit = SHARED_UNITS[m["unit"].lower()] if m else ""
+    parts = _short(_pieces(m["body"], _COMMAS), 6, 6) if unit else []
+    return _unique([x if _UNIT.search(x) else f"{x} {unit}" for x in parts])
 
 
 def _composite_parts(text: str) -> list[str]:
-    """``A, B and C provinces``: the parts, each with the unit in the singular."""
-    m = re.fullmatch(r"(.+?)\s+(provinces|districts|regions|states|counties|departments|municipalities|islands)", text.strip(), re.I)
-    parts = _list_parts(m[1]) if m else []
-    one = {"counties": "county", "municipalities": "municipality"}
-    return [f"{p} {one.get(m[2].lower(), m[2].lower()[:-1])}" for p in parts]
+    """All parts of a place that is several: by a shared unit, else by a pair with one and by a list; then those in parentheses."""
+    twice = lambda parts: [v for x in parts for v in (x, _UNIT.sub(" ", x))]
+    found = _shared_unit(text)
+    if not found:
+        m = _PAIR.fullmatch(_bare_place(text))
+        if m:
+            pair = [f"{m[side]} {SHARED_UNITS[m['unit'].lower()]}" for side in ("left", "right")]
+            found += pair + [_UNIT.sub(" ", x) for x in pair]
+        found += twice(_list_parts(text))
+    inner = [x for x in dict.fromkeys(without_context(x) for x in re.findall(r"\(([^()]+)\)", _one_space(text))) if x]
+    return _unique(found + twice(inner))
+
+
+def _place_spellings(text: str) -> list[str]:
+    """Ways to write one place: as it is, without parentheses, an island in full, without its unit, and each side of a slash."""
+    island = _one_space(re.sub(r"\bisl\.(?=\W|$)", "Island", text, flags=re.I))
+    return _unique([text, text, re.sub(r"\s*\([^()]+\)\s*", " ", text), island, _UNIT.sub(" ", text), *re.split(r"\s*/\s*", text)])
+
+
+def _without_units(text: str) -> str:
+    return _one_space(_UNIT.sub(" ", text))
 
 
 split_place = _by_value(_split_place, _TEXTS)
 name_variants = _by_value(_name_variants, _TEXTS)
 list_parts = _by_value(_list_parts, _TEXTS)
 composite_parts = _by_value(_composite_parts, _TEXTS)
+shared_unit_parts = _by_value(_shared_unit, _TEXTS)
+place_spellings = _by_value(_place_spellings, _TEXTS)
+without_units = _by_value(_without_units, _TEXT)
+bare_place = _by_value(_bare_place, _TEXT)
 
 
 def place_query(place: Column | str, country: Column | str) -> Column:
     return F.concat_ws(", ", F.nullif(collapse(place), F.lit("")), F.nullif(collapse(country), F.lit("")))
 
 
+#: Short names of countries, by their folded keys.
+COUNTRY_NAMES = {
+    "bolivia plurinational state of": ("Bolivia",), "cote d ivoire": ("Ivory Coast", "Cote d'Ivoire"), "iran islamic republic of": ("Iran",),
+    "tanzania united republic of": ("Tanzania",), "venezuela bolivarian republic of": ("Venezuela",), "viet nam": ("Vietnam",),
+    "russian federation": ("Russia",), "state of palestine": ("Palestine",), "taiwan province of china": ("Taiwan",), "turkiye": ("Turkey",),
+}
+
+
+def _query_variants(query: str, place: str, country: str) -> list[tuple[str, str]]:
+    place, country = _one_space(place), _one_space(country)
+    found = [("original", _one_space(query))]
+    if place and country:
+        countries = list(dict.fromkeys((country, *COUNTRY_NAMES.get(_folded_key(country), ()))))
+        for spelling in _place_spellings(place):
+            bare = _without_units(spelling)
+            for name in countries:
+                found.append(("place_country", f"{spelling}, {name}"))
+                if bare and bare != spelling:
+                    found.append(("without_admin_qualifier", f"{bare}, {name}"))
+        found += [("split_component", f"{part}, {name}") for part in _composite_parts(place) for name in countries]
+    first: dict[str, str] = {}
+    for label, text in found:
+        first.setdefault(_one_space(text), label)
+    return [(label, text) for text, label in first.items() if text]
+
+
+@F.pandas_udf(T.ArrayType(T.StructType().add("label", _TEXT).add("query", _TEXT)))
+def query_variants(query: pd.Series, place: pd.Series, country: pd.Series) -> pd.Series:
+    """(label, query) in the order in which a geocoder is asked."""
+    rows = zip(*(x.fillna("") for x in (query, place, country)), strict=True)
+    return pd.Series([[{"label": label, "query": text} for label, text in _query_variants(*row)] for row in rows])
+
+
 def with_query_variants(df: DataFrame, place: str, country: str) -> DataFrame:
-    """Adds ``variants``, (label, query) in order: as it is, without parentheses, without the unit word, each part of a list."""
-    df = df.withColumn("_parts", F.array_union(composite_parts(place), list_parts(place)))
-    c = collapse(country)
-    bare = without_parentheses(place)
-    unit = collapse(F.regexp_replace(bare, r"(?i)\b(province|district|region|state|county|department|municipality|prefecture|city|island)\b", " "))
-    one = lambda label, p: F.struct(F.lit(label).alias("label"), place_query(p, c).alias("query"))
-    full = F.concat(F.array(one("original", place), one("without_context", bare), one("without_unit", unit)), F.transform("_parts", lambda p: one("component", p)))
-    df = df.withColumn("variants", full).drop("_parts")
-    first = lambda x, i: F.array_position(F.transform("variants", lambda y: F.lower(y["query"])), F.lower(x["query"])) == i + 1
-    return df.withColumn("variants", F.filter("variants", first))
+    """Adds ``variants``, (label, query) in order, for the query ``place, country``."""
+    return df.withColumn("variants", query_variants(place_query(place, country), F.col(place), F.col(country)))
 
 
 # --- markup -----------------------------------------------------------------------------------------------------
 
-_DROPPED = "script style noscript svg nav header footer aside form".split()
+_RAW = ("script", "style", "noscript", "svg")
+_DROPPED = (*_RAW, "nav", "header", "footer", "aside", "form")
 #: Signs of a consent or block page.
-CONSENT = ("before you continue", "consent.google", "enable javascript", "are you a robot", "captcha", "cookie policy", "access denied")
+CONSENT = (
+    "consent.google.com", "if you choose to accept all", "if you choose to reject all", "manage your privacy settings", "we use cookies and data",
+    "before you continue", "enable javascript and cookies",
+)
 
 
 def strip_tags(c: Column | str) -> Column:
@@ -270,23 +395,32 @@ def paragraphs(c: Column | str) -> Column:
     return F.filter(F.transform(found, lambda p: collapse(F.regexp_replace(p, "<[^>]+>", " "))), lambda p: p != "")
 
 
+@F.pandas_udf(_TEXTS)
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda parts: [" ".join(html.unescape(x).split()) for x in parts])
+
+
 def main_chunks(c: Column | str, least: int = 50) -> Column:
-    """Paragraph texts of at least ``least`` characters in the article, else the main part, else the page."""
-    text = F.coalesce(col(c), F.lit(""))
+    """Texts, of at least ``least`` characters, of a page's articles and main parts; without any, of its paragraphs; without these, of its divisions."""
+    page = F.coalesce(col(c), F.lit(""))
     for tag in _DROPPED:
-        text = F.regexp_replace(text, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>", " ")
-    part = F.lit("")
-    for tag in ("main", "article"):
-        found = F.regexp_extract(text, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
-        part = F.when(found != "", found).otherwise(part)
-    return F.filter(paragraphs(F.when(part != "", part).otherwise(text)), lambda p: F.length(p) >= least)
+        page = F.regexp_replace(page, rf"(?is)<{tag}{'' if tag in _RAW else '[^>]*>'}.*?</{tag}>", " ")
+    inside = lambda tag: F.regexp_extract_all(page, F.lit(rf"(?is)<{tag}[^>]*>(.*?)</{tag}>"), F.lit(1))
+    marked, texts = F.concat(inside("article"), inside("main")), inside("p")
+    parts = F.when(F.size(marked) > 0, marked).when(F.size(texts) > 0, texts).otherwise(inside("div"))
+    spaced = F.transform(parts, lambda x: strip_tags(F.regexp_replace(x, r"(?i)<br\s*/?>|</(?:p|div|h[1-6]|li)>", " ")))
+    return F.filter(_unescaped(spaced), lambda x: F.length(x) >= least)
+
+
+def main_text(c: Column | str, most: int = 6000) -> Column:
+    return F.substring(F.array_join(main_chunks(c), " "), 1, most)
 
 
 def is_consent_page(url: Column | str, text: Column | str) -> Column:
-    both = F.lower(F.concat_ws(" ", col(url), col(text)))
+    address, body = F.lower(F.coalesce(col(url), F.lit(""))), F.lower(collapse(text))
     out = F.lit(False)
     for sign in CONSENT:
-        out = out | F.contains(both, F.lit(sign))
+        out = out | F.contains(address, F.lit(sign)) | F.contains(body, F.lit(sign))
     return out
 
 
@@ -308,11 +442,5 @@ def has_other_script(c: Column | str) -> Column:
     return col(c).rlike(r"[\p{L}&&[^\p{IsLatin}]]")
 
 
-def source_family(c: Column | str) -> Column:
-    """``Google News (X)`` is X; else the name before a bracket."""
-    inner = F.regexp_extract(col(c), r"^Google News \((.+)\)$", 1)
-    return F.when(inner != "", inner).otherwise(F.trim(F.regexp_replace(col(c), r"\s*\(.*$", "")))
-
-
 def blank_normal(c: Column | str) -> Column:
     return clean_text(c)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clean import as_number, clean_text, col, has_text
 from tidemark.functions.geo import box_reasons, box_size, valid_point
-from tidemark.functions.text import plain_key
+from tidemark.functions.text import folded_key, without_units
 from tidemark.operators.ordered import first_failing, first_row
 
 #: Kinds of places.
@@ -22,7 +22,12 @@ BAD_CLASSES = ("amenity", "building", "craft", "historic", "leisure", "office",
 AREA_TYPES = ("administrative", "state", "province", "region", "county", "district", "municipality", "territory", "prefecture", "governorate", "department")
 LOCAL_TYPES = ("city", "town", "village", "hamlet", "suburb", "neighbourhood", "quarter", "borough", "residential", "locality", "township")
 NATURAL_TYPES = ("river", "island", "archipelago", "lake", "bay", "gulf", "strait", "water", "reservoir", "valley", "mountain", "peak", "volcano", "peninsula", "desert")
-POI_TYPES = ("fuel", "government", "hotel", "bank", "cafe", "restaurant", "school", "hospital", "bus_stop", "station", "parking", "company", "house")
+POI_TYPES = (
+    "fuel", "government", "hotel", "bank", "cafe", "restaurant", "school", "university", "hospital", "bus_stop", "station", "cemetery", "attraction",
+    "bridge", "office", "retail", "supermarket", "industrial", "commercial", "house", "building",
+)
+#: Words of a query for an administrative area.
+AREA_QUERY_WORDS = ("province", "state", "region", "district", "county", "department", "governorate", "prefecture", "territory", "oblast", "municipality", "kanto", "kanton")
 SOURCES = ("em-dat", "ADM/GADM", "llm_nominatim", "llm_nominatim_review_accepted")
 
 
@@ -36,7 +41,7 @@ def status(lat: Column | str, lon: Column | str, units: Column, location: Column
 def candidate_score(place: Column, core: Column, display: Column, kind: Column, type_: Column, query: Column, rank: Column, importance: Column, side: Column) -> Column:
     """(score, quality, reasons) of a geocoder's candidate; ``side`` is its longer box side in degrees."""
     admin = query.rlike(ADMIN_WORDS)
-    p, c, d = plain_key(place), plain_key(core), plain_key(display)
+    p, c, d = folded_key(place), folded_key(without_units(core)), folded_key(display)
     by_place = (p != "") & F.contains(d, p)
     small = admin & (side > 0) & (side < 0.75)
     rules = [
@@ -55,6 +60,22 @@ def candidate_score(place: Column, core: Column, display: Column, kind: Column,
     return F.struct(score.alias("score"), F.when((score >= 3.0) & ~F.coalesce(small, F.lit(False)), "accepted").otherwise("review").alias("quality"), F.concat_ws(",", *[F.when(h, F.lit(n)) for h, _, n in rules]).alias("reasons"))
 
 
+def _bare(c: Column | str) -> Column:
+    return F.translate(F.lower(clean_text(c)), "'’", "")
+
+
+def country_only(query: Column | str, country: Column | str, location: Column | str) -> Column:
+    """Whether a query is no more than the country of an event without a location."""
+    return (_bare(query) != "") & (_bare(query) == _bare(country)) & (clean_text(location) == "")
+
+
+def small_area_box(query: Column | str, width: Column | str, height: Column | str, least: float = 0.05) -> Column:
+    """Whether a query for an administrative area got a box with both sides known and none of ``least`` degrees."""
+    area = reduce(or_, [F.contains(_bare(query), F.lit(w)) for w in AREA_QUERY_WORDS])
+    w, h = as_number(width), as_number(height)
+    return F.coalesce(area & (F.greatest(w, h) < least) & w.isNotNull() & h.isNotNull(), F.lit(False))
+
+
 def review_decision(lat: Column, lon: Column, type_: Column, country_only: Column, small_box: Column) -> Column:
     """(decision, bucket): the first rule that holds."""
     t = F.lower(clean_text(type_))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,20 +29,41 @@ def token_similarity(a: str, b: str) -> float:
     return max(dice, ratio(a, b))
 
 
-def contains_fuzzy(text: str, values: Sequence[str], threshold: float = 0.86) -> bool:
-    """Whether a value is in the text, or is similar to some words in a row of about as many as it has."""
-    words = text.split()
-    for value in values:
-        if not value:
-            continue
-        if f" {value} " in f" {text} ":
+class Similar:
+    """Whether words in a row of a text are similar to a value. All texts are keys of one kind."""
+
+    def __init__(self, text: str):
+        self.text, self.words = text, text.split()
+        self.ends = np.concatenate([[0], np.cumsum([len(w) + 1 for w in self.words], dtype=np.int64)])
+
+    def has(self, value: str, threshold: float = 0.86) -> bool:
+        if not value or not self.text:
+            return False
+        if value in self.text:
             return True
+        own = set(value.split())
+        shared = np.concatenate([[0], np.cumsum([w in own for w in self.words])])
+        quick = difflib.SequenceMatcher(None, "", value)
         n = len(value.split())
-        for size in range(max(1, n - 1), n + 4):
-            for i in range(len(words) - size + 1):
-                if token_similarity(value, " ".join(words[i : i + size])) >= threshold:
+        for size in range(max(1, n - 1), min(len(self.words), n + 3) + 1):
+            # Only windows of a length that allows the ratio, or with enough of the words, are compared.
+            long = self.ends[size:] - self.ends[:-size] - 1
+            near = 2 * np.minimum(long, len(value)) >= threshold * (long + len(value))
+            alike = (shared[size:] - shared[:-size]) * (2 - threshold) >= threshold * len(own)
+            for window in {self.text[a:b] for a, b in zip(self.ends[:-1][: len(long)][near | alike], self.ends[size:][near | alike] - 1, strict=True)}:
+                mine = set(window.split())
+                if 2 * len(own & mine) >= threshold * (len(own) + len(mine)):
+                    return True
+                quick.set_seq1(window)
+                if quick.quick_ratio() >= threshold and ratio(value, window) >= threshold:
                     return True
-    return False
+        return False
+
+
+def contains_fuzzy(text: str, values: Sequence[str], threshold: float = 0.86) -> bool:
+    """Whether a value is in the text, or is similar to some words in a row of about as many as it has."""
+    whole = Similar(" ".join(text.split()))
+    return any(whole.has(v, threshold) for v in values)
 
 
 @F.pandas_udf(T.BooleanType())
@@ -49,6 +71,12 @@ def fuzzy_mentions(text: pd.Series, values: pd.Series) -> pd.Series:
     return pd.Series([contains_fuzzy(t or "", list(v) if v is not None else []) for t, v in zip(text, values, strict=True)])
 
 
+def mentions_in_any_script(text: str, terms: Sequence[str]) -> bool:
+    """Whether a term of two characters at least is in the text, with or without its white space (multilingual keys)."""
+    close = "".join(text.split())
+    return any(len(t) >= 2 and (t in text or "".join(t.split()) in close) for t in terms)
+
+
 def fuzzy_join(left: DataFrame, right: DataFrame, block: Sequence[str], left_key: str, right_key: str, right_id: str, threshold: float = 0.92, margin: float = 0.02, least: int = 4) -> DataFrame:
     """left ⟕ the best similar key of the right side within a block, if it stands out by the margin from the next unit's.
 

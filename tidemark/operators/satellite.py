@@ -89,16 +89,17 @@ def rank_group(status: Column | str, s1: Column | str, s2: Column | str, mask: C
 
 
 def rank_score(base: Column, new_water: Column, isolated: Column, radar_area: Column, cloud: Column, unreliable: Column, near: Column) -> Column:
-    """Additive score. An isolated area that is missing or 0 falls back to all new water."""
+    """Additive score, to four digits. An isolated area that is missing or 0 falls back to all new water."""
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     alone = F.when(zero(isolated) != 0, isolated).otherwise(zero(new_water))
-    return (
+    return F.round(
         base.cast("double")
         + F.least(alone * 20.0, F.lit(20.0))
         + F.least(zero(radar_area) * 0.1, F.lit(5.0))
         + zero(F.greatest(F.lit(0.0), 30.0 - cloud) / 3.0 + F.lit(0.0) * cloud)
         - zero(F.least(unreliable / 2.0, F.lit(15.0)) + F.lit(0.0) * unreliable)
-        - zero(F.least(near / 12.5, F.lit(8.0)) + F.lit(0.0) * near)
+        - zero(F.least(near / 12.5, F.lit(8.0)) + F.lit(0.0) * near),
+        4,
     )
 
 

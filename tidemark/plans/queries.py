@@ -615,7 +615,7 @@ def pixel_dilation(spark, d):
 
 @query("rank_score", """
 WITH s AS (SELECT s_suppkey, CASE WHEN s_acctbal > 6000 THEN 100 WHEN s_acctbal > 3000 THEN 50 ELSE 10 END AS base, s_suppkey % 7 / 10.0::DOUBLE AS nw, CASE WHEN s_suppkey % 3 = 0 THEN 0.0::DOUBLE ELSE s_suppkey % 5 / 10.0::DOUBLE END AS iso, (s_suppkey % 90)::DOUBLE AS cloud FROM supplier),
-r AS (SELECT s_suppkey, base::DOUBLE + least(CASE WHEN iso <> 0 THEN iso ELSE nw END * 20.0::DOUBLE, 20.0::DOUBLE) + least(3.0::DOUBLE * 0.1::DOUBLE, 5.0::DOUBLE) + greatest(0.0::DOUBLE, 30.0::DOUBLE - cloud) / 3.0::DOUBLE - 0.0::DOUBLE - 0.0::DOUBLE AS score, nw FROM s)
+r AS (SELECT s_suppkey, round(base::DOUBLE + least(CASE WHEN iso <> 0 THEN iso ELSE nw END * 20.0::DOUBLE, 20.0::DOUBLE) + least(3.0::DOUBLE * 0.1::DOUBLE, 5.0::DOUBLE) + greatest(0.0::DOUBLE, 30.0::DOUBLE - cloud) / 3.0::DOUBLE - 0.0::DOUBLE - 0.0::DOUBLE, 4) AS score, nw FROM s)
 SELECT s_suppkey, floor(score * 1000 + 0.5)::BIGINT AS score_milli, (row_number() OVER (ORDER BY score DESC, nw DESC, s_suppkey))::INTEGER AS rank FROM r""")
 def rank_score(spark, d):
     k, bal = F.col("s_suppkey"), F.col("s_acctbal")

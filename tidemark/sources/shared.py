@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written below ``spark.checkpoint.dir`` and read again. That setting is made only where there is none."""
+    """The rows, written below ``spark.checkpoint.dir`` and read again. That setting is made only where there is none, in local mode."""
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
