@@ -47,8 +47,8 @@ BANDS = 8
 #: Shingles known to be frequent; the others count as rare and come in the order of their hashes. Only the order of
 #: the index depends on it, no result.
 HOT = 400_000
-#: Documents among which a task counts shingles.
-COUNTED_DOCS = 8_000
+#: Shingles, about, that a task holds while it counts them.
+COUNTED = 2_000_000
 
 
 def shingle_sets(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +99,7 @@ def _sketches(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[np.ndarray] = []
-        held, docs = np.zeros(0, np.int64), 0
+        held, docs, many = np.zeros(0, np.int64), 0, 0
 
         def frequent() -> pa.RecordBatch:
             every = np.concatenate(seen)
@@ -123,9 +123,10 @@ def _sketches(size: int):
                 held = np.concatenate([held, f1[new]])
                 docs += int(new.sum())
                 seen.append(sets[np.repeat(new, n)])
-            if docs >= COUNTED_DOCS:
-                yield frequent()
-                held, docs = np.zeros(0, np.int64), 0
+                many += len(seen[-1])
+                if many >= COUNTED:
+                    yield frequent()
+                    held, docs, many = np.zeros(0, np.int64), 0, 0
         if seen:
             yield frequent()
 
