@@ -88,11 +88,11 @@ def _mixed(docs: DataFrame, weights, schedules, total: float, most: float) -> Da
 
 
 def copies_in_order(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, schedules: tuple[tuple[float, float, float], ...] = SCHEDULES, total: float = TOTAL, most: float = MOST) -> DataFrame:
-    """Each document's row as often as the mix takes it, in whole copies, all of its columns as they are; sorted by each copy's position."""
+    """Each document's row as often as the mix takes it, in whole copies, all of its columns as they are; sorted by each copy's position, then doc_id."""
     text, doc_id, source = (F.col(k).cast("string") for k in ("text", "doc_id", "source"))
     slim = docs.select(F.struct("*").alias("_doc"), source.alias("source"), n_words(text).alias("size"), _key(doc_id).alias("_key")).withColumn("_part", F.substring("_key", 1, 3))
     taken = _placed(slim, weights, schedules, total, most).filter("copies > 0")
-    return taken.select("_doc", F.explode(F.slice("positions", F.lit(1), F.col("copies"))).alias("_at")).orderBy("_at").select("_doc.*")
+    return taken.select("_doc", F.explode(F.slice("positions", F.lit(1), F.col("copies"))).alias("_at")).orderBy("_at", "_doc.doc_id").select("_doc.*")
 
 
 def _key(doc_id: Column) -> Column:
