@@ -333,3 +333,38 @@ def test_held_out_is_the_remainder(spark):
     rows = [(i,) for i in range(50)] + [(None,)]
     got = spark.createDataFrame(rows, "doc_id long").select("doc_id", quality_rules.held_out(F.col("doc_id")).alias("h")).collect()
     assert all(r["h"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+
+
+def test_quality_sample_bounds_rows(spark, monkeypatch):
+    rows = [(1, f"text {i}") for i in range(60)] + [(3, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_rules, "fit_rules", lambda x, y, names, fold: seen.append(len(x)))
+    quality_rules.learn(docs, labels, sample=5)
+    assert seen == [5]
+
+
+def test_another_tokenizer_gets_whole_texts(tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer, normalizers
+
+    other = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    other.normalizer = normalizers.NFC()
+    other.save(f"{tmp_path}/t.json")
+    texts = ["Hello  World", "", "x"]
+    ids, sizes = token_files.Encoder(f"{tmp_path}/t.json").encode([t.encode() for t in texts])
+    want = [[*other.encode(t, add_special_tokens=False).ids, token_files.END_ID] for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_encoder_that_forgets(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(token_files, "REMEMBERED", 20_000)
+    rng = np.random.default_rng(0)
+    texts = [" ".join("".join(rng.choice(list("abcdeé-'"), 5)) for _ in range(200)).encode() for _ in range(12)]
+    e = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    for t in [*texts, *texts]:
+        ids, _ = e.encode([t])
+        assert ids.tolist() == [*e.tokenizer.encode(t.decode(), add_special_tokens=False).ids, token_files.END_ID]

@@ -58,6 +58,69 @@ def test_html_marks_compete_by_ratio(page, body, others):
     assert [x for x in got if not x.startswith("A long")] == others and len(got) == body + len(others)
 
 
+def brute_kept(blocks):
+    """Ratio by path, smoothing along the page, fusion by container and threshold, block by block in plain Python."""
+    def spread(values):
+        mean = sum(values) / len(values)
+        return math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
+
+    size = [len(b.text) for b in blocks]
+    stops = [sum(c in ".,;:!?…。，、！？" for c in b.text) for b in blocks]
+    ratio = []
+    for b in blocks:
+        same = [i for i, x in enumerate(blocks) if x.path == b.path]
+        ratio.append(sum(size[i] for i in same) / len(same) * (1 + sum(stops[i] for i in same) / len(same)))
+    smooth = [(ratio[max(i - 1, 0)] + 2 * ratio[i] + ratio[min(i + 1, len(ratio) - 1)]) / 4 for i in range(len(ratio))]
+    weight = {}
+    for i, b in enumerate(blocks):
+        weight[b.part or b.container] = weight.get(b.part or b.container, 0) + smooth[i] * size[i]
+    means = {}
+    for c in {b.container for b in blocks}:
+        mine = [i for i, b in enumerate(blocks) if b.container == c]
+        means[c] = sum(smooth[i] * size[i] for i in mine) / sum(size[i] for i in mine)
+    kept = []
+    for b in blocks:
+        ok = weight[b.part or b.container] * (2 if b.part else 1) >= spread(list(weight.values()))
+        if b.part:
+            ok = ok and means[b.container] * 2 >= spread([means[c] for c in {x.container for x in blocks if x.part == b.part}])
+        kept.append(ok)
+    return kept
+
+
+def test_html_ratios_against_brute_force():
+    rng = np.random.default_rng(11)
+    words = ["rain", "the,", "river.", "a", "town!", "Flooded"]
+    decided = 0
+    for _ in range(150):
+        page, opened = [], []
+        for _ in range(int(rng.integers(3, 40))):
+            kind = rng.integers(0, 10)
+            if kind < 2:
+                opened.append(str(rng.choice(["div", "section", "article", "main", "ul"])))
+                page.append(f"<{opened[-1]}>")
+            elif kind < 4 and opened:
+                page.append(f"</{opened.pop()}>")
+            else:
+                tag = str(rng.choice(["p", "li", "h2", "span"]))
+                page.append(f"<{tag}>{' '.join(rng.choice(words, int(rng.integers(1, 40))))}</{tag}>")
+        blocks = html_text.blocks_of("".join(page))
+        if blocks:
+            got, want = html_text.kept_blocks(blocks).tolist(), brute_kept(blocks)
+            assert got == want
+            decided += not all(want)
+    assert decided > 30
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<div class="content no-sidebar"><p>Text of it, here.</p></div>', "Text of it, here."),
+    ('<article class="has-header ad-free"><div class="post-header"><h1>Title</h1></div><p>Body text, long enough.</p></article>', "Title\nBody text, long enough."),
+    ('<article><p>Body text, here.</p><div class="related-posts">x</div><div id="share_buttons">y</div><p class="related-work">z z.</p></article>', "Body text, here.\nz z."),
+    ("<center>" * 20_000 + "<p>deep, text.</p>" + "</b>" * 20_000, "deep, text."), ("<p>" + "one long block, of text. " * 40_000 + "</p>", ("one long block, of text. " * 40_000).strip()),
+])
+def test_html_names_count_as_a_whole(page, want):
+    assert html_text.main_text(page) == want
+
+
 def brute_search(rows, k=20):
     whole = [(i, [math.floor(64 * float(np.float32(c))) for c in v]) for i, v in rows if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
     out = set()
@@ -238,9 +301,39 @@ def test_mixed_copies_stand_at_their_positions(spark, sf_dir):
         at += [(p, r["doc_id"]) for p in r["positions"][: r["copies"]]]
     places = {i: sorted(p for p, k in at if k == i) for _, i in at}
     order = [places[i].pop(0) for i in out]
+    assert [(p, i) for p, i in zip(order, out)] == sorted(zip(order, out))
     assert order == sorted(p for p, _ in at) and not any(places.values())
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    body = " ".join(f"word{i} and so on, more of it." for i in range(60))
+    rows = [(1, body), (2, body), (None, body), (None, None), (3, ""), (3, body.upper()), (4, "short one"), (5, body + " x" * 60_000), (5, None)]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, size int, score int, position string, k int, limit int, _doc int, taken int"
+    full = [(i, x, "en", ("a", None)[n % 2], 7, n, -n, "p", n, n, n, n) for n, (i, x) in enumerate(rows)]
+    docs = spark.createDataFrame(full, kind)
+    spark.createDataFrame([(1, 1, 0), (3, 0, 0), (None, 1, 0), (4, None, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([("i", "no such passage anywhere in them")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for start in (docs, docs.limit(0)):
+        now = start
+        for name, stage in corpus_pipeline.STAGES[1:-1]:  # the classifier has learnt nothing here, and is tested apart
+            now = corpus_pipeline.materialised(stage(spark, now, str(tmp_path)), name.split()[0])
+            assert now.columns == docs.columns
+            assert set(map(tuple, now.collect())) <= set(full)
+        out = corpus_pipeline.encode(spark, now, str(tmp_path)).orderBy("start").collect()
+        order = [r["doc_id"] for r in corpus_pipeline.mix_sources(spark, start, str(tmp_path)).collect()]
+        assert len(out) == now.count() and sorted(map(repr, (r["doc_id"] for r in out))) == sorted(map(repr, (r[0] for r in now.collect()))) and len(order) >= len(out)
+        kept = corpus_pipeline.keep_quality(spark, start, str(tmp_path))
+        assert kept.columns == docs.columns and set(map(tuple, kept.collect())) <= set(full)
+
+
+def test_token_files_follow_the_mix(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mix = corpus_pipeline.materialised(corpus_pipeline.mix_sources(spark, docs, sf_dir), "mix")
+    want = [r["doc_id"] for r in corpus_pipeline.mix_sources(spark, docs, sf_dir).collect()]
+    got = [r["doc_id"] for r in corpus_pipeline.encode(spark, mix, sf_dir).orderBy("start").collect()]
+    assert got == want and got != sorted(got)
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     sizes = []
