@@ -2,7 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.oracle import spark_rows, sql_rows
-from tidemark.plans import rules as _  # noqa: F401
+from tidemark.plans import gates as _, rules as _rules  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 

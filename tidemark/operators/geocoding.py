@@ -9,10 +9,10 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.clean import as_number, clean_text, col, has_text
+from tidemark.functions.clean import as_number, clean_text, col, has_text, unit_level
 from tidemark.functions.geo import box_reasons, box_size, valid_point
 from tidemark.functions.text import folded_key, without_units
-from tidemark.operators.ordered import first_failing, first_row
+from tidemark.operators.ordered import first_failing, first_row, joined_in_order
 
 #: Kinds of places.
 ADMIN_WORDS = r"(?i)\b(?:autonomous region|city|city area|county|department|district|governorate|municipality|prefecture|province|prov\.|regency|region|state|territory)\b"
@@ -158,3 +158,28 @@ def selection_status(id_: Column, kind: Column, day: Column, lat: Column, lon: C
     if chain is not None:
         checks.append(("no_valid_causal_chain", chain == "valid"))
     return first_failing(checks)
+
+
+def unmatched_diagnosis(events: DataFrame, units: DataFrame, boxes: DataFrame, files: DataFrame, event: str, order: str, level: int = 2) -> DataFrame:
+    """Each event with the reason why its units of a level have no boxes, and with their counts, ids and names.
+
+    ``events`` has an ``iso``, ``units`` has unit_level, unit_id, unit_name, source_field and an order, ``boxes`` has unit_level
+    and match_status, ``files`` lists the isos that boundaries are at hand for. Both sides are counted by event before they
+    are joined; events without units or boxes stay.
+    """
+    at = unit_level("unit_level")
+    here = lambda c: F.when(at == level, col(c))
+    with_id = (at == level) & (F.col("source_field") == "GADM Admin Units") & F.col("unit_id").isNotNull()
+    own = units.withColumn("_id", here("unit_id")).withColumn("_name", here("unit_name")).groupBy(event).agg(
+        F.array_join(F.array_sort(F.collect_set(F.when(at >= 0, at))).cast("array<string>"), " | ").alias("source_levels"),
+        F.count(F.when(at == level, 1)).alias("source_rows"), F.count(F.when(with_id, 1)).alias("id_rows"),
+        joined_in_order("_id", order).alias("unit_ids"), joined_in_order("_name", order).alias("unit_names"))
+    matched = boxes.groupBy(event).agg(F.count(F.when((at == level) & (F.col("match_status") == "matched"), 1)).alias("matched_rows"))
+    known = files.select(F.upper(F.trim("iso")).alias("iso"), F.lit(True).alias("has_file")).distinct()
+    tidy = events.withColumn("iso", F.upper(F.trim(F.coalesce("iso", F.lit("")))))
+    out = tidy.join(own, event, "left").join(matched, event, "left").join(known, "iso", "left")
+    out = out.fillna(0, ["source_rows", "id_rows", "matched_rows"]).fillna("", ["source_levels", "unit_ids", "unit_names"]).fillna({"has_file": False})
+    category = (
+        F.when(F.col("source_rows") == 0, "no_adm2_source_rows").when(~F.col("has_file"), "missing_gadm_adm2_file")
+        .when(F.col("matched_rows") > 0, "matched_adm2_not_in_remaining_set").when(F.col("id_rows") > 0, "unmatched_gadm_ids").otherwise("unmatched_adm2_names"))
+    return out.withColumn("name_only_rows", F.col("source_rows") - F.col("id_rows")).withColumn("category", category)

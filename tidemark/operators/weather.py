@@ -29,6 +29,47 @@ def aligned(time: Column | str, values: Mapping[str, Column | str], days: Column
     return F.when(ok, F.transform(days, row))
 
 
+#: What a service that has no rain or snow of its own calls its measurements.
+POWER = {"precipitation_sum": "PRECTOTCORR", "temperature_2m_max": "T2M_MAX", "temperature_2m_min": "T2M_MIN"}
+ALL_MEASURES = {**MEASURES, "precipitation_sum": True}
+
+
+def _if_any(series: Column) -> Column:
+    """The series, or null if no day has one of MEASURES (a sum of all precipitation alone isn't enough)."""
+    return F.when(F.exists(series, lambda x: F.coalesce(*[x[k] for k in MEASURES]).isNotNull()), series)
+
+
+def archive_series(body: Column | str, days: Column) -> Column:
+    """Days of an answer with parallel arrays under ``daily``; a measure it lacks is null on all days.
+
+    Null for text that isn't such an answer, for repeated dates, for arrays of another length, and if nothing was measured.
+    """
+    kind = "struct<daily:struct<time:array<string>," + ",".join(f"{k}:array<double>" for k in ALL_MEASURES) + ">>"
+    daily = F.from_json(col(body), kind)["daily"]
+    empty = F.transform(daily["time"], lambda _: F.lit(None).cast("double"))
+    named = F.transform(days, lambda d: d.cast("string"))
+    return _if_any(aligned(daily["time"], {k: F.coalesce(daily[k], empty) for k in ALL_MEASURES}, named, ALL_MEASURES))
+
+
+def power_series(body: Column | str, days: Column) -> Column:
+    """Days of an answer with maps from ``yyyyMMdd`` to values under ``properties.parameter``, its own fill value missing.
+
+    Rain and snow are null, as only their sum is given. Null for text that isn't such an answer, and if nothing was measured.
+    """
+    kind = "struct<header:struct<fill_value:double>,properties:struct<parameter:struct<" + ",".join(f"{v}:map<string,double>" for v in POWER.values()) + ">>>"
+    answer = F.from_json(col(body), kind)
+    fill = answer["header"]["fill_value"]
+
+    def value(name: str, d: Column) -> Column:
+        if name not in POWER:
+            return F.lit(None).cast("double")
+        x = measurement(F.try_element_at(answer["properties"]["parameter"][POWER[name]], F.date_format(d, "yyyyMMdd")), ALL_MEASURES[name])
+        return F.when(~x.eqNullSafe(fill), x)
+
+    row = lambda d: F.struct(d.cast("string").alias("day"), *[value(k, d).alias(k) for k in ALL_MEASURES])
+    return _if_any(F.transform(days, row))
+
+
 def valid_days(series: Column | str, measures: Sequence[str]) -> Column:
     """How many days have a value, for each measure."""
     return F.struct(*[F.size(_present(series, k)).alias(k) for k in measures])
