@@ -35,3 +35,20 @@ def test_answers_out_of_order(spark):
         short=weather.archive_series(said('["2020-01-04","2020-01-05"]', "[1]"), days), nothing=weather.archive_series(said('["2020-01-04"]', "[null]"), days))
     assert [x.rain_sum for x in r.right] == [2.0, None, 1.0]
     assert r.twice is None and r.short is None and r.nothing is None
+
+
+def test_answers_are_parsed_once_a_row(spark):
+    days = dates.calendar(F.col("day"))
+    for series in (weather.archive_series("body", days), weather.power_series("body", days)):
+        plan = spark.createDataFrame([("{}", None)], "body string, day date").select(series.alias("s"))._jdf.queryExecution().analyzed().toString()
+        assert plan.count("from_json(") == 1
+
+
+def test_answers_with_fills_gaps_and_repeats(spark):
+    days = dates.calendar(F.to_date(F.lit("2020-01-05")), 1, 1)
+    power = '{"header":{"fill_value":-7},"properties":{"parameter":{"T2M_MAX":{"20200104":-7,"20200105":-999,"20200106":4.5},"PRECTOTCORR":{"20200105":-1,"20200106":2}}}}'
+    archive = '{"daily":{"time":["2020-01-05",null,"2020-02-01"],"rain_sum":[-1,5,6],"temperature_2m_min":[-3,5,"NaN"]}}'
+    r = one(spark, p=weather.power_series(F.lit(power), days), a=weather.archive_series(F.lit(archive), days), none=weather.power_series(F.lit(power.replace("4.5", "null")), days))
+    assert [(x.day, x.temperature_2m_max, x.precipitation_sum, x.rain_sum) for x in r.p] == [("2020-01-04", None, None, None), ("2020-01-05", None, None, None), ("2020-01-06", 4.5, 2.0, None)]
+    assert [(x.rain_sum, x.temperature_2m_min, x.snowfall_sum) for x in r.a] == [(None, None, None), (None, -3.0, None), (None, None, None)]
+    assert r.none is None

@@ -5,7 +5,7 @@ All are built-in expressions, so they stay in generated code and can be pushed t
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once a row, however often f names it, inside functions of array elements, too."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def is_missing(c: Column | str) -> Column:
     """Null, or a spelling of missing once trimmed and lower-cased."""
     return col(c).isNull() | F.lower(F.trim(col(c).cast("string"))).isin(*MISSING)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.clean import col, measurement
+from tidemark.functions.clean import col, let, measurement
 from tidemark.functions.dates import calendar
 
 #: The measurements, and whether they can't be negative.
@@ -18,15 +18,22 @@ DAYS = 21
 def aligned(time: Column | str, values: Mapping[str, Column | str], days: Column, nonnegative: Mapping[str, bool] = MEASURES) -> Column:
     """Parallel arrays as an array of structs over the days of a calendar, null where a day has no value.
 
-    Null if the dates repeat, or if an array has another length than the dates.
+    Null if the dates repeat, or if an array has another length than the dates. Each value is worked out once a row.
     """
-    t = col(time)
-    ok = F.size(F.array_distinct(t)) == F.size(t)
-    for v in values.values():
-        ok = ok & (F.size(col(v)) == F.size(t))
-    at = lambda v, d: F.get(col(v), (F.array_position(t, d) - 1).cast("int"))
-    row = lambda d: F.struct(d.alias("day"), *[F.when(F.array_contains(t, d), measurement(at(v, d), nonnegative.get(k, False))).alias(k) for k, v in values.items()])
-    return F.when(ok, F.transform(days, row))
+
+
+    def series(s: Column) -> Column:
+        t = s["_time"]
+        ok = F.size(F.array_distinct(t)) == F.size(t)
+        for k in values:
+            ok = ok & (F.size(s[k]) == F.size(t))
+        tidy = lambda least: lambda x: measurement(x, least)
+        told = F.struct(*[F.transform(s[k], tidy(nonnegative.get(k, False))).alias(k) for k in values])
+        row = lambda v, d, at: F.struct(d.alias("day"), *[F.get(v[k], at).alias(k) for k in values])
+        # A day that isn't there has position 0.
+        return F.when(ok, let(told, lambda v: F.transform(days, lambda d: let((F.array_position(t, d) - 1).cast("int"), lambda at: row(v, d, at)))))
+
+    return let(F.struct(col(time).alias("_time"), *[col(v).alias(k) for k, v in values.items()]), series)
 
 
 #: What a service that has no rain or snow of its own calls its measurements.
@@ -36,7 +43,8 @@ ALL_MEASURES = {**MEASURES, "precipitation_sum": True}
 
 def _if_any(series: Column) -> Column:
     """The series, or null if no day has one of MEASURES (a sum of all precipitation alone isn't enough)."""
-    return F.when(F.exists(series, lambda x: F.coalesce(*[x[k] for k in MEASURES]).isNotNull()), series)
+    some = lambda s: F.exists(s, lambda x: F.coalesce(*[x[k] for k in MEASURES]).isNotNull())
+    return let(series, lambda s: F.when(some(s), s))
 
 
 def archive_series(body: Column | str, days: Column) -> Column:
@@ -45,10 +53,13 @@ def archive_series(body: Column | str, days: Column) -> Column:
     Null for text that isn't such an answer, for repeated dates, for arrays of another length, and if nothing was measured.
     """
     kind = "struct<daily:struct<time:array<string>," + ",".join(f"{k}:array<double>" for k in ALL_MEASURES) + ">>"
-    daily = F.from_json(col(body), kind)["daily"]
-    empty = F.transform(daily["time"], lambda _: F.lit(None).cast("double"))
     named = F.transform(days, lambda d: d.cast("string"))
-    return _if_any(aligned(daily["time"], {k: F.coalesce(daily[k], empty) for k in ALL_MEASURES}, named, ALL_MEASURES))
+
+    def series(daily: Column) -> Column:
+        empty = F.transform(daily["time"], lambda _: F.lit(None).cast("double"))
+        return aligned(daily["time"], {k: F.coalesce(daily[k], empty) for k in ALL_MEASURES}, named, ALL_MEASURES)
+
+    return _if_any(let(F.from_json(col(body), kind)["daily"], series))
 
 
 def power_series(body: Column | str, days: Column) -> Column:
@@ -57,17 +68,16 @@ def power_series(body: Column | str, days: Column) -> Column:
     Rain and snow are null, as only their sum is given. Null for text that isn't such an answer, and if nothing was measured.
     """
     kind = "struct<header:struct<fill_value:double>,properties:struct<parameter:struct<" + ",".join(f"{v}:map<string,double>" for v in POWER.values()) + ">>>"
-    answer = F.from_json(col(body), kind)
-    fill = answer["header"]["fill_value"]
 
-    def value(name: str, d: Column) -> Column:
-        if name not in POWER:
-            return F.lit(None).cast("double")
-        x = measurement(F.try_element_at(answer["properties"]["parameter"][POWER[name]], F.date_format(d, "yyyyMMdd")), ALL_MEASURES[name])
-        return F.when(~x.eqNullSafe(fill), x)
+    def series(answer: Column) -> Column:
+        said, fill = answer["properties"]["parameter"], answer["header"]["fill_value"]
+        own = lambda least: lambda _, x: let(measurement(x, least), lambda y: F.when(~y.eqNullSafe(fill), y))
+        told = F.struct(*[F.transform_values(said[v], own(ALL_MEASURES[k])).alias(k) for k, v in POWER.items()])
+        value = lambda m, k, key: F.try_element_at(m[k], key) if k in POWER else F.lit(None).cast("double")
+        row = lambda m, d, key: F.struct(d.cast("string").alias("day"), *[value(m, k, key).alias(k) for k in ALL_MEASURES])
+        return let(told, lambda m: F.transform(days, lambda d: let(F.date_format(d, "yyyyMMdd"), lambda key: row(m, d, key))))
 
-    row = lambda d: F.struct(d.cast("string").alias("day"), *[value(k, d).alias(k) for k in ALL_MEASURES])
-    return _if_any(F.transform(days, row))
+    return _if_any(let(F.from_json(col(body), kind), series))
 
 
 def valid_days(series: Column | str, measures: Sequence[str]) -> Column:

@@ -138,7 +138,9 @@ def weather_bodies(spark, d):
     power = F.to_json(F.struct(F.struct(F.lit(-10.0).alias("fill_value")).alias("header"), F.struct(values.alias("parameter")).alias("properties")))
     body = F.when(k % 3 == 0, archive).when(k % 3 == 1, power).otherwise("no answer")
     days = dates.calendar(day)
-    got = t(spark, d, "events").select("event_id", weather.archive_series(body, days).alias("a"), weather.power_series(body, days).alias("p"))
+    # Answers take far more work than the bytes of their rows let Spark's scan expect.
+    rows = t(spark, d, "events").select("event_id", "ts", "value").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    got = rows.select("event_id", weather.archive_series(body, days).alias("a"), weather.power_series(body, days).alias("p"))
     at = lambda s, i, n: F.get(F.col(s), F.lit(i))[n]
     return got.select(
         "event_id", F.when(F.col("a").isNotNull(), F.size("a")).alias("archive_days"), at("a", 9, "rain_sum").alias("rain"), at("a", 9, "temperature_2m_max").alias("warm"), at("a", 10, "temperature_2m_max").alias("filled"),
