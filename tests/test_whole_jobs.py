@@ -60,6 +60,18 @@ def test_fuzzy_and_edit_match_take_all_names(spark, sf_dir):
     assert len(got) == len(edit) and set(got) == edit
 
 
+@pytest.mark.parametrize("most", [1, 3])
+def test_edit_join_equals_brute_force(spark, most):
+    r = random.Random(most)
+    names = [(r.randrange(3), k, "".join(r.choice("abé") for _ in range(r.randrange(12)))) for k in range(150)]
+    left, right = [*names[:90], (None, 901, "ab"), (1, 902, None), (1, 903, "")], [*names[40:], names[50], (None, 904, "ab"), (1, 905, None), (1, 906, "")]
+    a = spark.createDataFrame(left, "b int, i long, x string")
+    b = spark.createDataFrame(right, "b int, j long, y string")
+    got = sorted(map(tuple, matching.edit_join(a, b, "b", "i", "x", "j", "y", most).collect()))
+    near = [(i, j, levenshtein(x, y)) for p, i, x in left for q, j, y in right if p is not None and p == q and x is not None and y is not None]
+    assert got == sorted(t for t in near if t[2] <= most)
+
+
 def articles(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     df = df.withColumn("title", F.split("text", "\n")[0]).withColumn("key", F.lower(clean.collapse("title")))
