@@ -148,3 +148,28 @@ def levenshtein(a, b):
         for j, y in enumerate(b, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
     return row[-1]
+
+
+def similar(text, value, threshold=0.86):
+    """As said: the value is in the text, or its words or signs are nearly those of some words in a row."""
+    if not value or value in text:
+        return bool(value)
+    words, own = text.split(), set(value.split())
+    n = len(value.split())
+    for size in range(max(1, n - 1), n + 4):
+        for k in range(len(words) - size + 1):
+            mine = set(words[k : k + size])
+            if 2 * len(own & mine) >= threshold * (len(own) + len(mine)) or matching.ratio(value, " ".join(words[k : k + size])) >= threshold:
+                return True
+    return False
+
+
+def test_terms_of_many_texts_at_once_equal_brute_force(monkeypatch):
+    monkeypatch.setattr(matching, "_AT_ONCE", 200)
+    r = random.Random(3)
+    words = ["flood", "floods", "heavy", "rain", "flo", "od", "iran", "flash", "hevy", "é"]
+    some = lambda most: " ".join(r.choice(words) for _ in range(r.randrange(most)))
+    texts = [some(12) for _ in range(400)]
+    terms = [[["heavy rain", "flash flood"]] * 400, [[some(4) for _ in range(r.randrange(3))] for _ in range(400)]]
+    got = matching.similar_any(texts, terms)
+    assert got == [[any(similar(t, v) for v in vs) for t, vs in zip(texts, values, strict=True)] for values in terms]
