@@ -37,6 +37,16 @@ def test_greedy_cover_equals_brute_force(spark, monkeypatch, candidates, most):
     assert [tuple(x) for x in relational.greedy_cover(df, "q", "e").orderBy("step").collect()] == brute_cover(pairs)
 
 
+@pytest.mark.parametrize("most", [-1, 60, 10**6])
+def test_greedy_cover_in_rounds_and_in_one_task(spark, monkeypatch, most):
+    monkeypatch.setattr(relational, "CANDIDATES", (8, 2))
+    monkeypatch.setattr(relational, "MOST_PAIRS", most)
+    r = random.Random(5)
+    pairs = [(f"q{r.randrange(20)}é" if r.random() < 0.5 else f"q{r.randrange(20)}Z", int(r.random() ** 2 * 90)) for _ in range(150)] + [(None, 1), ("q7Z", None)] * 2
+    df = spark.createDataFrame(pairs, "q string, e long")
+    assert [tuple(x) for x in relational.greedy_cover(df, "q", "e").orderBy("step").collect()] == brute_cover(pairs)
+
+
 def test_greedy_cover_query_takes_all_rows(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_suppkey", "l_orderkey").collect()
     got = QUERIES["greedy_cover"](spark, sf_dir).orderBy("step").collect()

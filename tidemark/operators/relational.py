@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,6 +137,8 @@ def pending(events: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 #: Candidates that the driver weighs at once, fewer where they meet in more sets than it may hold. 2 ** 16 sets is the most of 16.
 CANDIDATES, MOST_SETS = (128, 16), 2**16
+#: Pairs, about, that one task takes at once: it holds 8 bytes for each, and 12 more while it reads them.
+MOST_PAIRS = 40_000_000
 
 
 def greedy_cover(pairs: DataFrame, item: str, member: str) -> DataFrame:
@@ -141,15 +147,18 @@ def greedy_cover(pairs: DataFrame, item: str, member: str) -> DataFrame:
     Members that are in the same items are one row with their number. Each round looks at the items that lead by their
     open members and at the sets of them that members are in; with these the driver takes items in turn while the best
     is sure to come before all others, whose counts can only fall. So a round gives many items, and at least one.
+    As soon as MOST_PAIRS or fewer are open, which is at once for most tables, one task takes all steps that are left.
     A null item or member makes no pair.
     """
-    of_member = pairs.select(item, member).dropna().distinct().groupBy(member).agg(F.sort_array(F.collect_list(item)).alias("_items"))
+    of_member = pairs.select(item, member).dropna().groupBy(member).agg(F.sort_array(F.collect_set(item)).alias("_items"))
     left = written(of_member.groupBy("_items").agg(F.count(F.lit(1)).alias("_n")), "open")
     kind = left.schema["_items"].dataType.elementType.simpleString()
     chosen: list[tuple] = []
     since: list = []  # chosen since the open sets were written
     size = None
-    while True:
+    few = lambda: (left.agg(F.sum(F.size("_items")).alias("n")).first()["n"] or 0) <= MOST_PAIRS
+    last = few()
+    while not last:
         still = left.filter(~F.arrays_overlap("_items", _array(since, kind))) if since else left
         counts = still.select(F.explode("_items").alias("i"), "_n").groupBy("i").agg(F.sum("_n").alias("n"))
         lead = [(-r["n"], r["i"]) for r in counts.orderBy(F.desc("n"), "i").head(CANDIDATES[0] + 1)]
@@ -161,7 +170,73 @@ def greedy_cover(pairs: DataFrame, item: str, member: str) -> DataFrame:
         size = size or -lead[0][0]
         if -lead[0][0] * 2 <= size or len(since) >= 512:
             left, since, size = written(left.filter(~F.arrays_overlap("_items", _array(since, kind))), "open"), [], None
-    return pairs.sparkSession.createDataFrame([(k, *x) for k, x in enumerate(chosen, 1)], f"step int, {item} {kind}, newly_covered long")
+            last = few()
+    schema = f"step int, {item} {kind}, newly_covered long"
+    first = pairs.sparkSession.createDataFrame([(k, *x) for k, x in enumerate(chosen, 1)], schema)
+    if not last:
+        return first
+    rest = left.repartition(1).mapInArrow(_all_steps(len(chosen), item), schema)
+    return first.unionByName(rest) if chosen else rest
+
+
+def _all_steps(before: int, item: str):
+    """All steps of a greedy cover of (_items, _n), numbered from the ones before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, many, weights = [], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            flat.append(batch["_items"].flatten())
+            many.append(batch["_items"].value_lengths().to_numpy(zero_copy_only=False).astype(np.int32))
+            weights.append(batch["_n"].to_numpy(zero_copy_only=False).astype(np.int64))
+        if not flat:
+            return
+        coded = pa.chunked_array(flat).dictionary_encode().combine_chunks()
+        del flat
+        names, ids = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        order = pc.sort_indices(names).to_numpy()
+        rank = np.empty(len(names), np.int32)
+        rank[order] = np.arange(len(names), dtype=np.int32)
+        ids = rank[ids]
+        del coded
+        size, weight = np.concatenate(many), np.concatenate(weights)
+        at = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        begin = np.concatenate([[0], np.cumsum(np.bincount(ids, minlength=len(names)))])
+        # The sets of each item, filled in a part at a time.
+        sets, fill, count = np.empty(len(ids), np.int32), begin[:-1].copy(), np.zeros(len(names), np.int64)
+        for a in range(0, len(size), 1 << 19):
+            b = min(a + (1 << 19), len(size))
+            mine, own = ids[at[a] : at[b]], np.repeat(np.arange(a, b, dtype=np.int32), size[a:b])
+            by_item = np.argsort(mine, kind="stable")
+            each = np.bincount(mine, minlength=len(names))
+            placed = np.repeat(fill - (np.cumsum(each) - each), each) + np.arange(len(mine))
+            sets[placed] = own[by_item]
+            fill += each
+            np.add.at(count, mine, weight[own])
+        is_open = np.ones(len(size), bool)
+        heap = list(zip((-count).tolist(), range(len(names)), strict=True))
+        heapq.heapify(heap)
+        took: list[tuple[int, int]] = []
+        while heap:
+            n, best = heap[0]
+            now = int(count[best])
+            if now != -n:  # counts only fall, so what stands in the heap is the most it can be
+                heapq.heapreplace(heap, (-now, best))
+                continue
+            if now == 0:
+                break
+            heapq.heappop(heap)
+            took.append((best, now))
+            mine = sets[begin[best] : begin[best + 1]]
+            mine = mine[is_open[mine]]
+            is_open[mine] = False
+            long = size[mine].astype(np.int64)
+            step = np.arange(long.sum()) + np.repeat(at[mine] - (np.cumsum(long) - long), long)
+            np.subtract.at(count, ids[step], np.repeat(weight[mine], long))
+        chosen = names.take(pa.array(order[[k for k, _ in took]], pa.int64())) if took else names.slice(0, 0)
+        steps = pa.array(np.arange(before + 1, before + 1 + len(took), dtype=np.int32))
+        yield pa.RecordBatch.from_arrays([steps, chosen, pa.array([n for _, n in took], pa.int64())], ["step", item, "newly_covered"])
+
+    return run
 
 
 def _array(values: list, kind: str) -> Column:
