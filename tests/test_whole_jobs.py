@@ -53,6 +53,15 @@ def test_greedy_cover_query_takes_all_rows(spark, sf_dir):
     assert [tuple(x) for x in got] == brute_cover([tuple(x) for x in rows])
 
 
+def expanded(rows):
+    """All pairs of parts that the links of classes stand for."""
+    of = {}
+    for r in rows:
+        if r["kind"] == "member":
+            of.setdefault(r["unit"], []).append(r["id"])
+    return [(a, b, r["distance"]) for r in rows if r["kind"] == "link" for a in of[r["id"]] for b in of[r["unit"]]]
+
+
 def test_fuzzy_and_edit_match_take_all_names(spark, sf_dir):
     parts = [(k, n.lower()) for k, n in spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name").collect()]
     blocks = {}
@@ -66,7 +75,7 @@ def test_fuzzy_and_edit_match_take_all_names(spark, sf_dir):
         edit |= {(k, u, far) for u, x in blocks[k % 40] if (far := levenshtein(n + "s", x)) <= 3}
     got = QUERIES["fuzzy_match"](spark, sf_dir).collect()
     assert len(got) == len(parts) and {(r["id"], r["match_id"], r["match_score"] and round(r["match_score"], 9)) for r in got} == fuzzy
-    got = [tuple(r) for r in QUERIES["edit_match_all"](spark, sf_dir).collect()]
+    got = expanded(QUERIES["edit_match_all"](spark, sf_dir).collect())
     assert len(got) == len(edit) and set(got) == edit
 
 
@@ -82,6 +91,36 @@ def test_edit_join_equals_brute_force(spark, most):
     assert got == sorted(t for t in near if t[2] <= most)
 
 
+def test_edit_match_all_lists_classes_not_copies(spark, tmp_path):
+    names = ["Red bolt", "red BOLT", "red bolts", "red rod", "é", "", None]
+    parts = [(k, names[(k // 40) % 7]) for k in range(0, 4000, 40)] + [(k, names[0]) for k in range(1, 4000, 40)] + [(None, "red bolt"), (7, "red rod"), (7, "red rod")]
+    spark.createDataFrame(parts, "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    known = [(k, n.lower()) for k, n in parts if k is not None and n is not None]
+    least = {}
+    for k, n in known:
+        least[k % 40, n] = min(k, least.get((k % 40, n), k))
+    near = [(k, u, far) for k, n in known for u, x in known if k % 40 == u % 40 and (far := levenshtein(n + "s", x)) <= 3]
+    rows = QUERIES["edit_match_all"](spark, str(tmp_path)).collect()
+    members = [(r["id"], r["unit"], r["distance"]) for r in rows if r["kind"] == "member"]
+    assert sorted(members, key=str) == sorted(((k, least[k % 40, n.lower()] if k is not None and n is not None else None, None) for k, n in parts), key=str)
+    assert len(rows) - len(members) == len({(a, b) for a in least.items() for b in least.items() if a[0][0] == b[0][0] and levenshtein(a[0][1] + "s", b[0][1]) <= 3})
+    assert sorted(expanded(rows)) == sorted(near)
+
+
+def test_edit_class_join_stands_for_all_pairs(spark):
+    r = random.Random(7)
+    names = [(r.randrange(2), k, "".join(r.choice("aé") for _ in range(r.randrange(7)))) for k in range(200)]
+    left, right = [*names[:120], (None, 901, "ab"), (1, 902, None)], [*names[60:], names[70], (None, 904, "ab"), (1, 905, None)]
+    a = spark.createDataFrame(left, "b int, i long, x string")
+    b = spark.createDataFrame(right, "b int, j long, y string")
+    links = [tuple(t) for t in matching.edit_class_join(a, b, "b", "i", "x", "j", "y", 2).collect()]
+    of, to = ([tuple(t) for t in matching.key_classes(df, "b", i, k, "c").collect()] for df, i, k in ((a, "i", "x"), (b, "j", "y")))
+    assert len(links) == len(set(links)) and len(of) == len(left) and len(to) == len(right)
+    got = sorted((i, j, far) for p, q, far in links for i, c in of if c == p for j, d in to if d == q)
+    near = [(i, j, levenshtein(x, y)) for p, i, x in left for q, j, y in right if p is not None and p == q and x is not None and y is not None]
+    assert got == sorted(t for t in near if t[2] <= 2)
+
+
 def articles(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     df = df.withColumn("title", F.split("text", "\n")[0]).withColumn("key", F.lower(clean.collapse("title")))
