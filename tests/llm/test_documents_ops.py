@@ -142,6 +142,34 @@ def test_jaccard_nulls_and_repeats(spark, empty):
     assert jaccard_join.jaccard_components(empty).collect() == []
 
 
+def test_few_texts_are_picked_beside_those_wanted(spark):
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    picked, _ = jaccard_join._picked(docs, spark.range(0, 200_000, 4))
+    got = {r["doc_id"] for r in picked.collect()}
+    assert set(range(0, 200_000, 4)) <= got and len(got) < 52_000
+
+
+def test_signatures_bound_intersections_from_above():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 48, n, dtype=np.uint64)) for n in (1, 3, 40, 900, 1000)]
+    sets += [np.sort(np.concatenate([s[: len(s) * k // 10], rng.integers(0, 1 << 48, len(s) // 3, dtype=np.uint64)])) for s in sets[2:] for k in (3, 6, 8, 9, 10)]
+    first = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    sigs = [np.frombuffer(x, np.uint64) for x in jaccard_join._signatures(np.concatenate(sets), first)]
+    for x, a in zip(sets, sigs):
+        for y, b in zip(sets, sigs):
+            assert jaccard_join._differing(a, b) <= len(np.setxor1d(x, y))
+    assert jaccard_join._differing(sigs[3], sigs[4]) > 2 * 1900 // 7  # more than similar sets may differ in
+
+
+def test_pairs_that_signatures_settle_send_no_texts(spark):
+    texts = {i: " ".join(f"w{i}x{k}" for k in range(60)) for i in range(6)} | {6: " ".join(f"w0x{k}" for k in range(58))}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    sketches = docs.mapInArrow(jaccard_join._sketches(5), jaccard_join._SKETCH)
+    tries = lambda wide: spark.createDataFrame([(0, wide, [(i, wide) for i in range(1, 7)])], "a long, wide double, bs array<struct<b:long,wide:double>>")
+    left = lambda wide: sorted(b["b"] for r in jaccard_join._possible(tries(wide), sketches, 75).collect() for b in r["bs"])
+    assert left(0.0) == [6] and left(0.5) == list(range(1, 7))  # of wide components members may be linked
+
+
 def test_list_blocks_lose_no_pair():
     rng = np.random.default_rng(2)
     n = rng.integers(40, 400, 700)

@@ -13,14 +13,18 @@ single members only where the roots' distance leaves it open.
 Pairs are never listed one by one: a set is sent, with the list of those it may be linked with, once to each group of
 documents that holds some of them, and only links come back (and distances of roots that leave their members open).
 
+Before sets are counted, signatures are: the parities of a set's shingles by hash slot, two to four slots a shingle. Each
+slot in which two sets differ stands for a shingle of one of them alone, so the slots bound the intersection from above,
+and a pair whose bound is too low is done with. Signatures of different lengths are folded to the shorter one.
+
 Skipping in the index: lists of sets by shingle keep the sets' sizes and the shingle's place in them. A list
 is sorted by size, in blocks by place, and a block is skipped from the first place on at which too few
 shingles are left for a sufficient overlap.
 
 Intersections are counted on whole sets, so no link depends on the proposals. Texts are never shuffled as a whole:
 sketches and index entries are made where a text is read, and to count intersections only texts that are in some pair
-travel. They are picked by a broadcast table of hash slots of doc_ids, ``SLOTS`` at most whatever the input; what it
-lets pass by chance is dropped by the join after it.
+travel. They are picked by a broadcast table of hash slots of doc_ids, 64 in a row and ``SLOTS`` rows at most whatever the
+input; what it lets pass by chance is dropped by the join after it.
 
 Defined results: a null, empty or blank text has an empty set, no links and itself as its component; a null
 doc_id takes no part in links and keeps a null component; rows with one doc_id are one
@@ -91,11 +95,30 @@ def _bands(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
     return least.reshape(n, BANDS).view(np.int64)
 
 
-_SKETCH = "hot boolean, doc_id long, n long, f1 long, f2 long, " + ", ".join(f"b{i} long" for i in range(BANDS))
+def _signatures(sets: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """For each document the parity of the shingles in each of 2**k hash slots, the least k of 6 and more that gives two a shingle."""
+    n = np.diff(first)
+    slots = np.left_shift(1, np.maximum(6, np.ceil(np.log2(2 * np.maximum(n, 1))).astype(np.int64)))
+    begin = np.concatenate([[0], np.cumsum(slots)])
+    place = np.repeat(begin[:-1], n) + (sets.astype(np.int64) & np.repeat(slots - 1, n))
+    packed = np.packbits((np.bincount(place, minlength=int(begin[-1])) & 1).astype(np.uint8)).tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
+
+
+def _differing(x: np.ndarray, y: np.ndarray) -> int:
+    """Slots in which two signatures differ: as many shingles, at least, are in one of the sets only."""
+    if len(x) > len(y):
+        x, y = y, x
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+_SKETCH = "hot boolean, doc_id long, n long, f1 long, f2 long, " + ", ".join(f"b{i} long" for i in range(BANDS)) + ", sig binary"
 
 
 def _sketches(size: int):
-    """Rows of two kinds: for each document its size, set hashes and bands; for each frequent shingle of a batch its count."""
+    """Rows of two kinds: for each document its size, set hashes, bands and signature; for each frequent shingle of a batch its count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[np.ndarray] = []
@@ -109,13 +132,13 @@ def _sketches(size: int):
             value, count = np.unique(every[1:][every[1:] == every[:-1]], return_counts=True)
             often = count + 1 >= max(2, docs // 4000)
             n = int(often.sum())
-            return _rows(True, pa.nulls(n, pa.int64()), count[often] + 1, value[often].view(np.int64), np.zeros(n, np.int64), np.zeros((n, BANDS), np.int64))
+            return _rows(True, pa.nulls(n, pa.int64()), count[often] + 1, value[often].view(np.int64), np.zeros(n, np.int64), np.zeros((n, BANDS), np.int64), pa.nulls(n, pa.binary()))
 
         for batch in batches:
             for a, b, w in text_chunks(batch["text"], lower=True):
                 sets, first = shingle_sets(w, size)
                 n, (f1, f2), bands = np.diff(first), _fingerprints(sets, first), _bands(sets, first)
-                yield _rows(False, batch["doc_id"].slice(a, b - a), n, f1, f2, bands)
+                yield _rows(False, batch["doc_id"].slice(a, b - a), n, f1, f2, bands, pa.array(_signatures(sets, first), pa.binary()))
                 _, once = np.unique(f1, return_index=True)
                 new = np.zeros(len(n), dtype=bool)
                 new[once] = True
@@ -133,10 +156,10 @@ def _sketches(size: int):
     return run
 
 
-def _rows(hot: bool, doc, n, f1, f2, bands) -> pa.RecordBatch:
+def _rows(hot: bool, doc, n, f1, f2, bands, sig) -> pa.RecordBatch:
     if isinstance(doc, pa.ChunkedArray):
         doc = doc.combine_chunks()
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), hot)), doc, pa.array(n.astype(np.int64)), pa.array(f1), pa.array(f2)] + [pa.array(bands[:, i].copy()) for i in range(BANDS)], ["hot", "doc_id", "n", "f1", "f2"] + [f"b{i}" for i in range(BANDS)])
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), hot)), doc, pa.array(n.astype(np.int64)), pa.array(f1), pa.array(f2)] + [pa.array(bands[:, i].copy()) for i in range(BANDS)] + [sig], ["hot", "doc_id", "n", "f1", "f2"] + [f"b{i}" for i in range(BANDS)] + ["sig"])
 
 
 def _chosen(group: pa.Table, docs: np.ndarray, size: int) -> dict[int, list[np.ndarray]]:
@@ -183,35 +206,36 @@ def _overlap(x: list[np.ndarray], y: list[np.ndarray]) -> tuple[int, int, int]:
     return best
 
 
-#: Rows, at most, of the table by which texts are picked.
+#: Rows, at most, of the table by which texts are picked; each row has 64 slots.
 SLOTS = 1 << 18
 #: Documents in a group while intersections are counted.
 GROUP = 200
 
 
-def _picked(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, int]:
-    """(g, doc_id, text) of the documents with these ids, and few more, and the number of groups."""
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
+def _picked(docs: DataFrame, ids: DataFrame, column: str = "text") -> tuple[DataFrame, int]:
+    """(g, doc_id, text, or another column) of the documents with these ids, and few more, and the number of groups."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(64 * SLOTS)).cast("int")
     ids = materialised(ids.distinct(), "ids")
     groups = max(1, -(-ids.count() // GROUP))
-    used = ids.select(slot("id").alias("slot")).distinct()
-    picked = docs.join(F.broadcast(used), slot("doc_id") == F.col("slot"), "left_semi")
-    return picked.select(group_of("doc_id", groups).alias("g"), "doc_id", "text"), groups
-
+    slots = ids.select(slot("id").alias("slot")).select(F.expr("slot div 64").cast("int").alias("row"), F.expr("shiftleft(1L, slot % 64)").alias("bit"))
+    used = slots.groupBy("row").agg(F.bit_or("bit").alias("bits"))
+    placed = docs.select("doc_id", column, slot("doc_id").alias("slot"))
+    picked = placed.join(F.broadcast(used), F.expr("slot div 64").cast("int") == F.col("row")).filter("(shiftrightunsigned(bits, slot % 64) & 1) = 1")
+    return picked.select(group_of("doc_id", groups).alias("g"), "doc_id", column), groups
 
-def _verified(tries: DataFrame, docs: DataFrame, size: int, percent: int, all_pairs: bool) -> DataFrame:
-    """a, b, apart, linked for (a, wide, bs: array of (b, wide)): links, and other pairs if they are asked for or open.
 
-    A pair is open if its distance, less the two widths, is within the limit: then members may be linked.
-    """
-    tries = materialised(tries, "tries")
-    ids = tries.select("a", F.transform("bs", lambda x: x["b"]).alias("bs"))
+def _concerned(tries: DataFrame) -> DataFrame:
+    """The ids of both sides of (a, bs)."""
 
     def distinct_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate([batch["a"].to_numpy(), batch["bs"].flatten().to_numpy()])))], ["id"])
 
-    grouped, groups = _picked(docs, ids.mapInArrow(distinct_ids, "id long"))
+    return tries.select("a", F.transform("bs", lambda x: x["b"]).alias("bs")).mapInArrow(distinct_ids, "id long")
+
+
+def _sent(tries: DataFrame, grouped: DataFrame, groups: int, raws) -> DataFrame:
+    """(g, a, wide, sets, b, b_wide): for each a of the tries, once to each group that holds some of its bs, what ``raws`` has of it."""
     to = lambda x: F.struct(F.pmod(F.xxhash64(x["b"]), F.lit(groups)).cast("int").alias("g"), x["b"].alias("b"), x["wide"].alias("wide"))
     routed = tries.select(group_of("a", groups).alias("g"), "a", "wide", F.transform("bs", to).alias("bs"))
     fields = [("g", pa.int32()), ("a", pa.int64()), ("wide", pa.float64()), ("sets", pa.list_(pa.binary())), ("b", pa.list_(pa.int64())), ("b_wide", pa.list_(pa.float64()))]
@@ -220,7 +244,7 @@ def _verified(tries: DataFrame, docs: DataFrame, size: int, percent: int, all_pa
         if not len(wanted):
             return pa.table({name: pa.array([], kind) for name, kind in fields})
         ids, wide = wanted["a"].to_numpy(), wanted["wide"].to_numpy()
-        raw = {a: [_bytes(v) for v in vs] for a, vs in _chosen(group, ids, size).items()}
+        raw = raws(group, ids)
         start, (g, b, b_wide) = _lists(wanted["bs"])
         row = np.repeat(np.arange(len(ids)), np.diff(start))
         order = np.lexsort((g, row))
@@ -234,7 +258,57 @@ def _verified(tries: DataFrame, docs: DataFrame, size: int, percent: int, all_pa
         give_back()
         return out
 
-    sent = grouped.groupBy("g").cogroup(routed.groupBy("g")).applyInArrow(send, "g int, a long, wide double, sets array<binary>, b array<long>, b_wide array<double>")
+    return grouped.groupBy("g").cogroup(routed.groupBy("g")).applyInArrow(send, "g int, a long, wide double, sets array<binary>, b array<long>, b_wide array<double>")
+
+
+def _possible(tries: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(a, wide, bs) without the pairs whose signatures leave neither a link nor, within their widths, an open pair."""
+    tries = materialised(tries, "tries")
+    signed = sketches.filter("not hot and n > 0").select("doc_id", F.struct("n", "sig").alias("sig"))
+    grouped, groups = _picked(signed, _concerned(tries), "sig")
+
+    def chosen(group: pa.Table, docs: np.ndarray) -> dict[int, list[tuple[int, bytes]]]:
+        found: dict[int, list[tuple[int, bytes]]] = {}
+        rows = group.filter(pa.array(np.isin(group["doc_id"].to_numpy(), docs)))
+        for doc, sig in zip(rows["doc_id"].to_pylist(), rows["sig"].to_pylist(), strict=True):
+            found.setdefault(doc, []).append((sig["n"], sig["sig"]))
+        return found
+
+    def raws(group: pa.Table, docs: np.ndarray) -> dict[int, list[bytes]]:
+        return {a: [n.to_bytes(8, "little") + sig for n, sig in sigs] for a, sigs in chosen(group, docs).items()}
+
+    def bound(group: pa.Table, wanted: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        words = lambda raw: np.frombuffer(raw, np.uint64)
+        own = chosen(group, np.unique(wanted["b"].combine_chunks().flatten().to_numpy())) if len(wanted) else {}
+        sigs = {b: [(n, words(sig)) for n, sig in of] for b, of in own.items()}
+        for a, a_wide, raws, others, widths in zip(*(wanted[k] for k in ("a", "wide", "sets", "b", "b_wide")), strict=True):
+            mine, a_wide, left = [(int(w[0]), w[1:]) for w in map(words, raws.as_py())], a_wide.as_py(), []
+            for b, wide in zip(others.as_py(), widths.as_py(), strict=True):
+                for (na, x), (nb, y) in ((x, y) for x in mine for y in sigs[b]):
+                    most = min(na, nb, (na + nb - _differing(x, y)) // 2)
+                    reach = a_wide + wide
+                    if 100 * most >= percent * (na + nb - most) or (reach > 0 and 1 - most / (na + nb - most) - reach <= 1 - percent / 100 + 1e-9):
+                        left.append({"b": b, "wide": wide})
+                        break
+            if left:
+                out.append((a.as_py(), a_wide, left))
+        a, wide, bs = zip(*out, strict=True) if out else ((), (), ())
+        kind = pa.list_(pa.struct([("b", pa.int64()), ("wide", pa.float64())]))
+        return pa.table({"a": pa.array(a, pa.int64()), "wide": pa.array(wide, pa.float64()), "bs": pa.array(bs, kind)})
+
+    left = grouped.groupBy("g").cogroup(_sent(tries, grouped, groups, raws).groupBy("g")).applyInArrow(bound, "a long, wide double, bs array<struct<b:long,wide:double>>")
+    return left.groupBy("a", "wide").agg(F.flatten(F.collect_list("bs")).alias("bs"))
+
+
+def _verified(tries: DataFrame, docs: DataFrame, size: int, percent: int, all_pairs: bool) -> DataFrame:
+    """a, b, apart, linked for (a, wide, bs: array of (b, wide)): links, and other pairs if they are asked for or open.
+
+    A pair is open if its distance, less the two widths, is within the limit: then members may be linked.
+    """
+    tries = materialised(tries, "tries")
+    grouped, groups = _picked(docs, _concerned(tries))
+    sent = _sent(tries, grouped, groups, lambda group, ids: {a: [_bytes(v) for v in vs] for a, vs in _chosen(group, ids, size).items()})
 
     def count(group: pa.Table, wanted: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -450,7 +524,7 @@ def links(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame,
     centre = by_band.groupBy("band", "key").agg(F.min(F.struct("node", "n")).alias("c"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     proposed = by_band.join(centre, ["band", "key"]).filter(f"node <> c.node and 100 * least(n, c.n) >= {percent} * greatest(n, c.n)").select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
     single = lambda pairs: pairs.select("a", F.lit(0.0).alias("wide"), F.array(F.struct("b", F.lit(0.0).alias("wide"))).alias("bs"))
-    first = _verified(single(proposed), slim, size, percent, True)
+    first = _verified(_possible(single(proposed), sketches, percent), slim, size, percent, True)
     roots = materialised(components(first.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
     # Every member's distance from its root, counted unless it was already.
     rooted = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
@@ -469,7 +543,7 @@ def links(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame,
     lists = lists.withColumn("differ", differ("root")).filter("differ").select("h", "root", "place", "wide").sortWithinPartitions("h")
     found = lists.mapInArrow(_scan_lists(percent), "a long, wide double, bs array<struct<b:long,wide:double>>")
     tries = found.groupBy("a", "wide").agg(F.array_distinct(F.flatten(F.collect_list("bs"))).alias("bs"))
-    second = _verified(tries, slim, size, percent, False)
+    second = _verified(_possible(tries, sketches, percent), slim, size, percent, False)
     edges = same_id.unionByName(first.unionByName(rest).unionByName(second).filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
     # Where the distance of two roots leaves it open, their members are compared, as far as the distances allow.
     open_ = second.filter("not linked").select("a", "b", "apart")
