@@ -373,6 +373,22 @@ def test_quality_sample_bounds_rows(spark, monkeypatch):
     assert seen == [5]
 
 
+def test_each_word_meets_the_model_once():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, asked = token_files.Encoder(path), []
+    model = encoder.model
+    encoder.model = lambda word: asked.append(word) or model(word)
+    texts = ["", "zarquonix Zarquonix frêle", "frêle ÀÉ zarquonix. naïveté", ""]
+    for again in range(2):
+        ids, each = encoder.encode([t.encode() for t in texts])
+        said = [[*e.ids, token_files.END_ID] for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert ids.tolist() == [x for one in said for x in one] and each.tolist() == [len(one) for one in said]
+    assert asked and len(asked) == len(set(asked))
+    assert encoder.encode([])[0].tolist() == [] and encoder.encode([b""])[0].tolist() == [token_files.END_ID]
+
+
 def test_another_tokenizer_gets_whole_texts(tmp_path):
     import public_tokenizers
     from tokenizers import Tokenizer, normalizers

@@ -18,11 +18,13 @@ first; rows with one doc_id follow each other in any order; extra columns are ig
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
+import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +53,12 @@ PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SIGNS = bytes(
     ord(" ") if b in (9, 10, 11, 12, 13, 32) else ord("q") if b > 0xC3 or b in (0xC0, 0xC1, 0xC2) else ord("a") if b > 127 or chr(b).isalnum() else ord("p") for b in range(256)
 )
-_BEYOND = "\u0100"
+#: The leading bytes of characters beyond Latin-1.
+_BEYOND = re.compile(rb"[\xc4-\xff]").search
 # Byte-level models write a byte as a printable sign: itself where that is printable in Latin-1, else the next free one.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_SIGNS = {b: b for b in _PRINTED} | {b: 0x100 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
+_SIGN_OF_BYTE = "".join(chr(_BYTE_SIGNS[b]) for b in range(256))
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -143,6 +147,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model.tokenize  # each access to a tokenizer's model makes an object
         said = json.loads(self.tokenizer.to_str())
         parts = lambda k, many: (said[k] or {}).get(many) or ([said[k]] if said[k] else [])
         normal, kinds = parts("normalizer", "normalizers"), parts("pre_tokenizer", "pretokenizers")
@@ -160,7 +165,8 @@ class Encoder:
         self.known: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 20, dtype=np.uint32)
         self.bounds = np.zeros(1 << 18, dtype=np.int64)
-        self.n = self.size = 0
+        self.n = self.size = self.end = 0
+        self.ids[0], self.bounds[1], self.n = END_ID, 1, 1  # the end id, at place ``end``; no word has it
 
     def _add(self, words: list[bytes], ids: list[list[int]]) -> None:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -177,8 +183,8 @@ class Encoder:
         self.size += sum(map(len, words)) + _ENTRY * len(words)
 
     def _ids(self, piece: str) -> list[int]:
-        raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_SIGNS)
-        return [x.id for x in self.tokenizer.model.tokenize(raw)]
+        raw = piece if piece.isascii() else codecs.charmap_decode(piece.encode(), "strict", _SIGN_OF_BYTE)[0]
+        return [x.id for x in self.model(raw)]
 
     def _piece(self, piece: str) -> list[int]:
         """The ids of a part of a word; words that are one piece are remembered as words."""
@@ -191,10 +197,10 @@ class Encoder:
         """Remembers the ids of new words. Latin-1 words are normal as they are, and the library's model takes their pieces."""
         if len(self.pieces) * 8 * _ENTRY > REMEMBERED:
             self.pieces.clear()
-        plain, other, ids, piece = [], [], [], self._piece
+        plain, other, ids, piece, model = [], [], [], self._piece, self.model
         held, held_ids, bounds = self.older
         for w in words:
-            at = held.get(w)
+            at = held.get(w) if held else None
             if at is not None:
                 plain.append(w)
                 ids.append(held_ids[bounds[at] : bounds[at + 1]].tolist())
@@ -202,11 +208,11 @@ class Encoder:
             text = w.decode()
             if w.isalpha():  # ASCII letters
                 plain.append(w)
-                ids.append(self._ids(text.lower()))
+                ids.append([x.id for x in model(text.lower())])
             elif w[:-1].isalpha() and w[-1:] in b",.!":
                 plain.append(w)
                 ids.append(piece(text[:-1].lower()) + piece(text[-1]))
-            elif max(text) < _BEYOND and text.isprintable() and "<|" not in text:
+            elif not _BEYOND(w) and text.isprintable() and "<|" not in text:
                 plain.append(w)
                 text = text.lower()
                 ids.append(self._ids(text) if text.isalpha() else list(chain.from_iterable(map(piece, self.split(text)))))
@@ -237,22 +243,19 @@ class Encoder:
         if self.size > REMEMBERED // 2:
             self.older = (self.known, self.ids[: self.bounds[self.n]].copy(), self.bounds[: self.n + 1].copy())
             self._begin()
-        index = list(map(self.known.get, words))
-        new = [i for i, k in enumerate(index) if k is None]
-        if new:
-            self._learn(list({words[i] for i in new}))
-            for i in new:
-                index[i] = self.known[words[i]]
-        at = np.array(index, dtype=np.int64)
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            unknown = [words[i] for i in new.tolist()]
+            self._learn(list(set(unknown)))
+            at[new] = np.fromiter(map(self.known.__getitem__, unknown), np.int64, len(unknown))
         lo, size = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
-        doc = np.repeat(np.arange(len(texts)), counts)
-        each = np.bincount(doc, weights=size, minlength=len(texts)).astype(np.int64) + 1
-        # Where each word's ids go: after the ids of the words before it, and an end id for each document before it.
-        to = np.concatenate([[0], np.cumsum(size)[:-1]]) + doc if len(at) else np.zeros(0, np.int64)
-        out = np.empty(int(each.sum()), dtype=np.uint32)
-        step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        out[np.repeat(to, size) + step] = self.ids[np.repeat(lo, size) + step]
-        out[np.cumsum(each) - 1] = END_ID
+        # An end id is a word of its own after each document's words, so that one gather makes all ids in order.
+        ends = np.cumsum(counts)
+        lo, size = np.insert(lo, ends, self.bounds[self.end]), np.insert(size, ends, 1)
+        upto = np.cumsum(size)
+        out = self.ids[np.repeat(lo - upto + size, size) + np.arange(int(upto[-1]) if len(upto) else 0)]
+        each = np.diff(upto[ends + np.arange(len(texts))], prepend=0)
         return out, each
 
 
