@@ -49,6 +49,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return copies_in_order(docs)
 
 
+#: Bytes of words that an encoder remembers here, fewer than in ``op5``: the stages before leave the executors' heaps full.
+REMEMBERED = 32_000_000
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files of the mix in its order, each copy at its place, digested by copy.
 
@@ -59,8 +63,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     try:
         placed = docs.select("doc_id", "text", F.length(name).alias("_long"), name.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     except AnalysisException:
-        return token_digest(docs)
-    return token_digest(placed, order=("_long", "_file", "_row"))
+        return token_digest(docs, remembered=REMEMBERED)
+    return token_digest(placed, order=("_long", "_file", "_row"), remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -412,3 +412,47 @@ def test_encoder_that_forgets(monkeypatch):
     for t in [*texts, *texts]:
         ids, _ = e.encode([t])
         assert ids.tolist() == [*e.tokenizer.encode(t.decode(), add_special_tokens=False).ids, token_files.END_ID]
+
+
+def peak_mb(f):
+    """What ``f`` returns, and the most that Python and NumPy held meanwhile beyond what was there."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        return f(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_encoder_goes_when_files_are_read():
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    token_files.encoder(path)
+    assert token_files.encoder.cache_info().currsize
+    assert list(token_files._unpacked(iter(()))) == []
+    assert not token_files.encoder.cache_info().currsize
+
+
+def test_encoder_of_bounded_memory():
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    texts = [" ".join(f"word{i}x{j}" for j in range(300)).encode() for i in range(60)]
+    small, large = token_files.Encoder(path, 100_000), token_files.Encoder(path)
+    for t in texts:
+        assert small.encode([t])[0].tolist() == large.encode([t])[0].tolist()
+    assert len(small.known) + len(small.older[0]) < 1500 < 10_000 < len(large.known)
+
+
+def test_encoder_starts_small():
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    e, mb = peak_mb(lambda: token_files.Encoder(path))
+    assert e.split and mb < 10
+
+
+def test_sketches_hold_little():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 1000).tolist())) for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    rows, mb = peak_mb(lambda: sum(len(x) for x in jaccard_join._sketches(5)(iter([batch]))))
+    assert rows >= 600 and mb < 40

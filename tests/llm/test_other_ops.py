@@ -351,3 +351,12 @@ def test_pipeline(spark, sf_dir):
         at += r["n_tokens"]
     twice = out.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     assert twice <= 2
+
+
+def test_the_pipelines_encoder_remembers_less(spark, monkeypatch):
+    from tidemark.llm import token_files
+
+    told = []
+    monkeypatch.setattr(corpus_pipeline, "token_digest", lambda docs, **k: told.append(k.get("remembered")))
+    corpus_pipeline.encode(spark, spark.createDataFrame([(1, "a")], "doc_id long, text string"), "")
+    assert told[0] and told[0] < token_files.REMEMBERED

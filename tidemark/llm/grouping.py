@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 GROUP_BYTES = 2_000_000
 GROUP_ROWS = 20_000
 #: Rows, and bytes, at most, that go to a Python worker together while a table is written; texts are long, and memory is small.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+#: Bytes where workers and executors hold much besides; a batch stands in both, in an executor outside its heap.
+FEW_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -35,10 +37,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
+def small_batches(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> Iterator[None]:
     """While this lasts, plans that start send texts to Python workers in small batches. Results don't depend on it."""
-    before = {k: spark.conf.get(k, None) for k in BATCHES}
-    for k, v in BATCHES.items():
+    batches = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS), "spark.sql.execution.arrow.maxBytesPerBatch": str(batch_bytes)}
+    before = {k: spark.conf.get(k, None) for k in batches}
+    for k, v in batches.items():
         spark.conf.set(k, v)
     try:
         yield
@@ -47,10 +50,10 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
+def materialised(df: DataFrame, name: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The rows, written to the shared folder and read again, so that lineage ends there."""
     path = shared_dir(df.sparkSession, name)
-    with small_batches(df.sparkSession):
+    with small_batches(df.sparkSession, batch_bytes):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.grouping import group_of, materialised
+from tidemark.llm.grouping import FEW_BYTES, group_of, materialised
 from tidemark.llm.words import Words, give_back, mix, text_chunks, window_hashes, window_starts
 
 BITS = np.uint64(48)
@@ -53,6 +53,8 @@ BANDS = 8
 HOT = 400_000
 #: Shingles, about, that a task holds while it counts them.
 COUNTED = 2_000_000
+#: Bytes of text that are turned into shingles at a time; the arrays made of them meanwhile are many times larger.
+CHUNK = 500_000
 
 
 def shingle_sets(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +137,7 @@ def _sketches(size: int):
             return _rows(True, pa.nulls(n, pa.int64()), count[often] + 1, value[often].view(np.int64), np.zeros(n, np.int64), np.zeros((n, BANDS), np.int64), pa.nulls(n, pa.binary()))
 
         for batch in batches:
-            for a, b, w in text_chunks(batch["text"], lower=True):
+            for a, b, w in text_chunks(batch["text"], lower=True, limit=CHUNK):
                 sets, first = shingle_sets(w, size)
                 n, (f1, f2), bands = np.diff(first), _fingerprints(sets, first), _bands(sets, first)
                 yield _rows(False, batch["doc_id"].slice(a, b - a), n, f1, f2, bands, pa.array(_signatures(sets, first), pa.binary()))
@@ -152,6 +154,8 @@ def _sketches(size: int):
                     held, docs, many = np.zeros(0, np.int64), 0, 0
         if seen:
             yield frequent()
+        held = np.zeros(0, np.int64)
+        give_back()
 
     return run
 
@@ -167,7 +171,7 @@ def _chosen(group: pa.Table, docs: np.ndarray, size: int) -> dict[int, list[np.n
     found: dict[int, list[np.ndarray]] = {}
     rows = group.filter(pa.array(np.isin(group["doc_id"].to_numpy(), docs)))
     ids = rows["doc_id"].to_pylist()
-    for a, b, w in text_chunks(rows["text"], lower=True):
+    for a, b, w in text_chunks(rows["text"], lower=True, limit=CHUNK):
         sets, first = shingle_sets(w, size)
         for i in range(b - a):
             if first[i + 1] > first[i]:
@@ -263,7 +267,7 @@ def _sent(tries: DataFrame, grouped: DataFrame, groups: int, raws) -> DataFrame:
 
 def _possible(tries: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(a, wide, bs) without the pairs whose signatures leave neither a link nor, within their widths, an open pair."""
-    tries = materialised(tries, "tries")
+    tries = materialised(tries, "tries", FEW_BYTES)
     signed = sketches.filter("not hot and n > 0").select("doc_id", F.struct("n", "sig").alias("sig"))
     grouped, groups = _picked(signed, _concerned(tries), "sig")
 
@@ -306,7 +310,7 @@ def _verified(tries: DataFrame, docs: DataFrame, size: int, percent: int, all_pa
 
     A pair is open if its distance, less the two widths, is within the limit: then members may be linked.
     """
-    tries = materialised(tries, "tries")
+    tries = materialised(tries, "tries", FEW_BYTES)
     grouped, groups = _picked(docs, _concerned(tries))
     sent = _sent(tries, grouped, groups, lambda group, ids: {a: [_bytes(v) for v in vs] for a, vs in _chosen(group, ids, size).items()})
 
@@ -386,7 +390,7 @@ def _entries(size: int, percent: int, hot: np.ndarray, times: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: set[int] = set()
         for batch in batches:
-            for _, _, w in text_chunks(pa.chunked_array([batch["text"]]), lower=True):
+            for _, _, w in text_chunks(pa.chunked_array([batch["text"]]), lower=True, limit=CHUNK):
                 sets, first = shingle_sets(w, size)
                 nodes = _fingerprints(sets, first)[0].tolist()
                 new = np.zeros(len(nodes), dtype=bool)
@@ -507,7 +511,7 @@ def links(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame,
     The edges tie all nodes that links tie. Links inside a component that is known already aren't counted one by one.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = materialised(slim.mapInArrow(_sketches(size), _SKETCH), "sketches")
+    sketches = materialised(slim.mapInArrow(_sketches(size), _SKETCH), "sketches", FEW_BYTES)
     bands = [f"b{i}" for i in range(BANDS)]
     usable = sketches.filter("not hot and n > 0 and doc_id is not null")
     classes = usable.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", *bands)).alias("r")).select("f1", "f2", "r.*").withColumnRenamed("doc_id", "node")

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.grouping import shared_dir, small_batches
+from tidemark.llm.grouping import FEW_BYTES, shared_dir, small_batches
 from tidemark.llm.words import give_back
 
 BLOCK = 256
@@ -142,15 +142,20 @@ class Encoder:
     are lower-cased first where that can't matter: no combining marks, no strings of special tokens.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
+        self.remembered = REMEMBERED if remembered is None else remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model.tokenize  # each access to a tokenizer's model makes an object
-        said = json.loads(self.tokenizer.to_str())
-        parts = lambda k, many: (said[k] or {}).get(many) or ([said[k]] if said[k] else [])
-        normal, kinds = parts("normalizer", "normalizers"), parts("pre_tokenizer", "pretokenizers")
+        give_back()
+
+        def parts(of: object, many: str) -> list[dict]:
+            said = json.loads(of.__getstate__()) if of else {}  # this part alone: the whole file as objects takes more than the tokenizer
+            return said.get(many) or ([said] if said else [])
+
+        normal, kinds = parts(self.tokenizer.normalizer, "normalizers"), parts(self.tokenizer.pre_tokenizer, "pretokenizers")
         # Words are taken one by one, and pieces split here, only where the file says how, and that way is this one; else
         # the library gets whole texts.
         self.split = None
@@ -195,7 +200,7 @@ class Encoder:
 
     def _learn(self, words: list[bytes]) -> None:
         """Remembers the ids of new words. Latin-1 words are normal as they are, and the library's model takes their pieces."""
-        if len(self.pieces) * 8 * _ENTRY > REMEMBERED:
+        if len(self.pieces) * 8 * _ENTRY > self.remembered:
             self.pieces.clear()
         plain, other, ids, piece, model = [], [], [], self._piece, self.model
         held, held_ids, bounds = self.older
@@ -240,7 +245,7 @@ class Encoder:
             mine = text.split()
             words += mine
             counts[i] = len(mine)
-        if self.size > REMEMBERED // 2:
+        if self.size > self.remembered // 2:
             self.older = (self.known, self.ids[: self.bounds[self.n]].copy(), self.bounds[: self.n + 1].copy())
             self._begin()
         at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
@@ -260,14 +265,14 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, remembered: int | None = None) -> Encoder:
+    return Encoder(path, remembered)
 
 
 _SEGMENT = "file int, seg_start long, n_ids long, doc_ids array<long>, doc_sizes array<long>, block_starts array<int>, data binary"
 
 
-def _segments(path: str):
+def _segments(path: str, remembered: int | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, start = TaskContext.get().partitionId(), 0
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
@@ -288,7 +293,7 @@ def _segments(path: str):
             sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else np.zeros(0, np.int64)
             while a < len(texts):
                 b = max(a + 1, a + int(np.searchsorted(np.cumsum(sizes[a:]), SEGMENT_IDS)))
-                ids, each = encoder(path).encode(texts.slice(a, b - a).to_pylist())
+                ids, each = encoder(path, remembered).encode(texts.slice(a, b - a).to_pylist())
                 held.append((docs.slice(a, b - a), ids, each))
                 a = b
                 if sum(len(x[1]) for x in held) >= SEGMENT_IDS:
@@ -304,13 +309,30 @@ def _names(schema: str) -> list[str]:
     return [x.split()[0] for x in schema.split(", ")]
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, order: Sequence[str] = ("doc_id",)) -> None:
-    """Encodes the texts and writes them to ``path``, in ascending order (by doc_id, if not told) over the files' numbers."""
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, order: Sequence[str] = ("doc_id",), remembered: int | None = None) -> None:
+    """Encodes the texts and writes them to ``path``, in ascending order (by doc_id, if not told) over the files' numbers.
+
+    ``remembered``: bytes of words that an encoder remembers, ``REMEMBERED`` if not told; only time and memory depend on it.
+    """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *[F.col(k) for k in order if k != "doc_id"])
     ranged = slim.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order).select("doc_id", "text")
-    with small_batches(spark):
-        ranged.mapInArrow(_segments(tokenizer), _SEGMENT).write.parquet(path)
+    with small_batches(spark, FEW_BYTES):
+        ranged.mapInArrow(_segments(tokenizer, remembered), _SEGMENT).write.parquet(path)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # A worker that has encoded would keep the encoder as long as it lives, in later stages too.
+    encoder.cache_clear()
+    give_back()
+    for batch in batches:
+        for i in range(len(batch)):
+            row = {k: batch[k][i] for k in ("file", "seg_start", "doc_ids", "doc_sizes", "data")}
+            ids = unpack_segment(row["data"].as_buffer())
+            size = row["doc_sizes"].values.to_numpy()
+            at = np.concatenate([[0], np.cumsum(size)])
+            raw = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer((at * 4).astype(np.int64).tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(size), row["file"].as_py(), np.int32)), row["doc_ids"].values, pa.array(row["seg_start"].as_py() + at[:-1]), pa.array(size), raw.cast(pa.binary())], ["file", "doc_id", "start", "n_tokens", "ids"])
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -320,21 +342,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     sizes = files.groupBy("file").agg(F.sum("n_ids").alias("n"))
     base = sizes.select(F.col("file").alias("f"), F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                row = {k: batch[k][i] for k in ("file", "seg_start", "doc_ids", "doc_sizes", "data")}
-                ids = unpack_segment(row["data"].as_buffer())
-                size = row["doc_sizes"].values.to_numpy()
-                at = np.concatenate([[0], np.cumsum(size)])
-                raw = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer((at * 4).astype(np.int64).tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(size), row["file"].as_py(), np.int32)), row["doc_ids"].values, pa.array(row["seg_start"].as_py() + at[:-1]), pa.array(size), raw.cast(pa.binary())], ["file", "doc_id", "start", "n_tokens", "ids"])
-
-    docs = files.select("file", "seg_start", "doc_ids", "doc_sizes", "data").mapInArrow(unpack, "file int, doc_id long, start long, n_tokens long, ids binary")
+    docs = files.select("file", "seg_start", "doc_ids", "doc_sizes", "data").mapInArrow(_unpacked, "file int, doc_id long, start long, n_tokens long, ids binary")
     return docs.join(F.broadcast(base), F.col("file") == F.col("f")).select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids")
 
 
-def token_digest(docs: DataFrame, tokenizer: str | None = None, order: Sequence[str] = ("doc_id",)) -> DataFrame:
+def token_digest(docs: DataFrame, tokenizer: str | None = None, order: Sequence[str] = ("doc_id",), remembered: int | None = None) -> DataFrame:
     """Writes the documents' token files to the shared folder, in the given order, reads them back and digests what they hold."""
     if tokenizer is None:
         import public_tokenizers
@@ -342,7 +354,7 @@ def token_digest(docs: DataFrame, tokenizer: str | None = None, order: Sequence[
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
     spark = docs.sparkSession
     path = shared_dir(spark, "tokens")
-    write_tokens(docs, path, tokenizer, order)
+    write_tokens(docs, path, tokenizer, order, remembered)
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
