@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import without_contaminated
-from tidemark.llm.grouping import materialised
+from tidemark.llm.grouping import materialised, trim_driver
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.mixture import copies_in_order
 from tidemark.llm.quality_rules import learn, scored
@@ -28,6 +28,7 @@ from tidemark.llm.token_files import token_digest
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
     rules = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    trim_driver(spark)
     whole = docs.select(F.struct("*").alias("_doc"), "doc_id", "text")
     return scored(whole, rules).filter("predicted = 1").select("_doc.*")
 
@@ -41,6 +42,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
+    trim_driver(spark)
     return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -59,6 +61,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The mix was written range-sorted by position: its files' names and the rows in them give that order. Rows that come
     from elsewhere have none, and stand by doc_id.
     """
+    trim_driver(spark)
     name = F.col("_metadata.file_name")
     try:
         placed = docs.select("doc_id", "text", F.length(name).alias("_long"), name.alias("_file"), F.col("_metadata.row_index").alias("_row"))

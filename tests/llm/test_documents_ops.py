@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, mixture, quality_rules, substring_dedup, token_files
+from tidemark.llm import decontaminate, grouping, jaccard_join, mixture, quality_rules, substring_dedup, token_files
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, g int, name string, words string, hash string, size int"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -456,3 +456,23 @@ def test_sketches_hold_little():
     batch = pa.RecordBatch.from_arrays([pa.array(range(600), pa.int64()), pa.array(texts)], ["doc_id", "text"])
     rows, mb = peak_mb(lambda: sum(len(x) for x in jaccard_join._sketches(5)(iter([batch]))))
     assert rows >= 600 and mb < 40
+
+
+def test_driver_has_the_command_to_trim(spark):
+    assert grouping.trim_driver(spark)
+
+
+def test_each_table_written_trims_the_driver(spark, monkeypatch):
+    trimmed = []
+    monkeypatch.setattr(grouping, "trim_driver", trimmed.append)
+    assert grouping.materialised(spark.range(10), "some").count() == 10
+    assert trimmed == [spark]
+
+
+def test_driver_without_the_command_is_left_alone():
+    class Elsewhere:
+        @property
+        def _jvm(self):
+            raise AttributeError("no JVM here")
+
+    assert not grouping.trim_driver(Elsewhere())

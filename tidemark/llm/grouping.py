@@ -9,9 +9,12 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.words import give_back
+
 #: Mean bytes of text, and mean rows, of one group of documents.
 GROUP_BYTES = 2_000_000
 GROUP_ROWS = 20_000
@@ -50,11 +53,30 @@ def small_batches(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> Iterat
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
+def trim_driver(spark: SparkSession) -> bool:
+    """Has the driver return the memory that it freed outside the JVM's heap, which the C library would otherwise keep; whether its JVM was told.
+
+    Results don't depend on it; the JVM's part is left out where the JVM lacks the command (or the session has no JVM).
+    """
+    give_back()
+    try:
+        jvm = spark._jvm
+        # By reflection, as the server's own class isn't open to callers; its interface is.
+        invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        said = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)
+        said[0], said[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), said)
+    except (AttributeError, Py4JError):
+        return False
+    return True
+
+
 def materialised(df: DataFrame, name: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The rows, written to the shared folder and read again, so that lineage ends there."""
     path = shared_dir(df.sparkSession, name)
     with small_batches(df.sparkSession, batch_bytes):
         df.write.parquet(path)
+    trim_driver(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
